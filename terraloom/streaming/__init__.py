@@ -1,0 +1 @@
+"""Nothing here yet: the engine's scope has no streaming operator."""

@@ -137,15 +137,16 @@ def tiktoken_words(folder: str = TOKENIZERS, name: str = "byte_bpe_50k"):
 _WORKER: dict[tuple, UnitEncoder] = {}
 
 
-def worker_encoder(kind: str, folder: str, name: str) -> UnitEncoder:
+def worker_encoder(kind: str, folder: str, name: str, describe=None) -> UnitEncoder:
     """One encoder per Python worker process, kept between its tasks."""
-    key = (kind, folder, name)
+    key = (kind, folder, name, describe and describe.__name__)
     if key not in _WORKER:
         if kind == "duckdb":
-            _WORKER[key] = UnitEncoder(DuckMerges(folder, name).encode_words)
+            _WORKER[key] = UnitEncoder(DuckMerges(folder, name).encode_words, describe)
         else:
-            enc, _ = tiktoken_words(folder, name)
-            _WORKER[key] = UnitEncoder(lambda ws: [enc.encode_ordinary(w) for w in ws])
+            enc, ranks = tiktoken_words(folder, name)
+            _WORKER[key] = UnitEncoder(lambda ws: [enc.encode_ordinary(w) for w in ws], describe)
+            _WORKER[key].ranks = ranks
     return _WORKER[key]
 
 

@@ -48,11 +48,15 @@ class UnitEncoder:
     """Texts to token ids through a memory of units.
 
     ``encode_words`` gets distinct pretokens and returns their id lists. The memory starts afresh once it
-    holds ``most_chars`` characters, so that it is bounded whatever the corpus holds.
+    holds ``most_chars`` characters, so that it is bounded whatever the corpus holds. ``describe`` gives a
+    number for each new unit, which ``notes`` keeps beside it.
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], list[list[int]]], most_chars: int = 24_000_000):
-        self.encode_words, self.most_chars = encode_words, most_chars
+    def __init__(
+        self, encode_words: Callable[[list[str]], list[list[int]]], describe: Callable[[list[str]], np.ndarray] | None = None,
+        most_chars: int = 24_000_000,
+    ):
+        self.encode_words, self.describe, self.most_chars = encode_words, describe, most_chars
         self._reset()
 
     def _reset(self) -> None:
@@ -63,6 +67,7 @@ class UnitEncoder:
         self.starts = np.zeros(1 << 14, np.int64)
         self.counts = np.zeros(1 << 14, np.int64)
         self.nchars = np.zeros(1 << 14, np.int64)
+        self.notes = np.zeros(1 << 14, np.int64)
         self.used = 0
 
     @staticmethod
@@ -78,7 +83,7 @@ class UnitEncoder:
         if unseen:
             self.words.update(zip(unseen, self.encode_words(unseen), strict=True))
         first = len(self.numbers) - len(new)
-        for name in ("starts", "counts", "nchars"):
+        for name in ("starts", "counts", "nchars", "notes"):
             setattr(self, name, self._room(getattr(self, name), len(self.numbers)))
         words = self.words
         ids: list[int] = []
@@ -90,6 +95,8 @@ class UnitEncoder:
             self.starts[k] = at + before
             self.counts[k] = len(ids) - before
         self.nchars[first : first + len(new)] = np.fromiter(map(len, new), np.int64, len(new))
+        if self.describe:
+            self.notes[first : first + len(new)] = self.describe(new)
         self.flat = self._room(self.flat, at + len(ids))
         self.flat[at : at + len(ids)] = ids
         self.used = at + len(ids)

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from terraloom.common import Scratch, trim_blanks
 
-BETA = 0.6
-HOPS = 3
+BETA = 0.3
+HOPS = 6
 
 
 def record_key(c: str) -> Column:

@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,7 +153,7 @@ def worker_encoder(kind: str, folder: str, name: str, describe=None) -> UnitEnco
 
 def chunks(batch: pa.RecordBatch, text_at: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of at most ``most`` characters or one row, so that working arrays stay small."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     at = 0
     while at < batch.num_rows:

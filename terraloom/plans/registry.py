@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraloom.plans import quality
+from terraloom.plans import quality, reference
 
-MODULES = (quality,)
+MODULES = (quality, reference)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 for _m in MODULES:
     QUERIES |= _m.QUERIES
     SQL |= _m.SQL
-FLAGSHIP = "p3_found"
+FLAGSHIP = "dissolve_l2"

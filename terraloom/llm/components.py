@@ -31,16 +31,27 @@ def record_key(c: str) -> Column:
     return F.when(k != "", k)
 
 
-def decompose(links: DataFrame, level: int, beta: float = BETA, hops: int = HOPS) -> DataFrame:
-    """(v, c): the centre of the cluster that each end of ``links`` (a, b; both directions) joins."""
+def _arcs(pairs: DataFrame) -> DataFrame:
+    """Arcs (a, b, w) of links given in both directions: each link as 1, each end to itself as 0.
+
+    With the arcs to itself one join per step carries a record's own state along; a union with the state before
+    would double the plan with every step.
+    """
+    link = F.struct(F.col("a"), F.col("b"), F.lit(1).alias("w"))
+    loop = F.struct(F.col("a"), F.col("a").alias("b"), F.lit(0).alias("w"))
+    return pairs.select(F.explode(F.array(link, loop)).alias("e")).select("e.*").distinct()
+
+
+def decompose(arcs: DataFrame, level: int, beta: float = BETA, hops: int = HOPS) -> DataFrame:
+    """(v, c): the centre of the cluster that each end of ``arcs`` joins."""
     draw = (F.shiftrightunsigned(F.xxhash64(F.lit(level), F.col("v")), 11) + 1) * F.lit(2.0**-53)
     shift = F.least(-F.log(draw) / beta, F.lit(float(hops)))
-    state = links.select(F.col("a").alias("v")).distinct().select("v", F.struct((-shift).alias("t"), F.col("v").alias("c")).alias("s"))
+    state = arcs.where(F.col("w") == 0).select(F.col("a").alias("v"))
+    state = state.select("v", F.struct((-shift).alias("t"), F.col("v").alias("c")).alias("s"))
     for _ in range(hops):
-        reached = links.join(state, links.a == state.v).select(
-            F.col("b").alias("v"), F.struct((F.col("s.t") + 1).alias("t"), F.col("s.c").alias("c")).alias("s")
-        )
-        state = state.unionByName(reached).groupBy("v").agg(F.min("s").alias("s"))
+        reached = arcs.join(state, arcs.a == state.v)
+        moved = F.struct((F.col("s.t") + F.col("w")).alias("t"), F.col("s.c").alias("c")).alias("s")
+        state = reached.select(F.col("b").alias("v"), moved).groupBy("v").agg(F.min("s").alias("s"))
     return state.select("v", F.col("s.c").alias("c"))
 
 
@@ -50,19 +61,19 @@ def groups(pairs: DataFrame, left: str, right: str, linked: Column, beta: float
     rows = pairs.select(record_key(left).alias("a"), record_key(right).alias("b"), F.coalesce(linked, F.lit(False)).alias("on"))
     rows = scratch.keep(rows.distinct())
     ids = rows.select(F.explode(F.array("a", "b")).alias("v")).where(F.col("v").isNotNull()).distinct()
-    links = rows.where(F.col("on") & (F.col("a") != F.col("b"))).select("a", "b")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = scratch.keep(both.distinct())
+    links = rows.where(F.col("on") & (F.col("a") != F.col("b")))
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    arcs = scratch.keep(_arcs(links.select(F.explode(both).alias("e")).select("e.*")))
     levels: list[DataFrame] = []
-    while not links.isEmpty():
-        joined = scratch.keep(decompose(links, len(levels), beta, hops))
+    while not arcs.isEmpty():
+        joined = scratch.keep(decompose(arcs, len(levels), beta, hops))
         levels.append(joined)
         ends = joined.select(F.col("v").alias("a"), F.col("c").alias("ca"))
-        half = links.join(ends, "a").select("ca", F.col("b").alias("a"))
+        half = arcs.where(F.col("w") == 1).join(ends, "a").select("ca", F.col("b").alias("a"))
         between = half.join(ends.withColumnRenamed("ca", "cb"), "a").where(F.col("ca") != F.col("cb"))
-        smaller = scratch.keep(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
-        scratch.drop(links)
-        links = smaller
+        smaller = scratch.keep(_arcs(between.select(F.col("ca").alias("a"), F.col("cb").alias("b"))))
+        scratch.drop(arcs)
+        arcs = smaller
     if not levels:
         return ids.select(F.col("v").alias("debugid"), F.col("v").alias("group_id"))
     final = levels[-1].select("v", F.col("c").alias("top"))

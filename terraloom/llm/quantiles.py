@@ -52,7 +52,7 @@ class Summary:
         return Summary(len(values), values, ranks, ranks)
 
     def compress(self, eps: float) -> Summary:
-        """Keeps a tuple only where the gap to the one kept before would exceed ``eps * n`` without it."""
+        """Keeps a tuple only where the gap to the one kept before would exceed ``eps * n`` ranks without it."""
         room = max(1, int(eps * self.n))
         if len(self.v) <= max(3, 1 / eps):
             return self
@@ -170,7 +170,7 @@ def _summarise(eps: float):
     return run
 
 
-def _merge(eps: float):
+def _merge(gap: float):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         parts = [
             Summary(int(r.n), np.asarray(r.v, float), np.asarray(r.rmin, np.int64), np.asarray(r.rmax, np.int64))
@@ -178,18 +178,24 @@ def _merge(eps: float):
         ]
         while len(parts) > 1:
             parts = [a.merge(b) for a, b in zip(parts[::2], parts[1::2], strict=False)] + parts[len(parts) & ~1 :]
-        s = parts[0].compress(eps / 2)
+        s = parts[0].compress(gap)
         return pd.DataFrame([(key[0], int(key[1]), s.n, s.v, s.rmin, s.rmax)], columns=["grp", "salt", "n", "v", "rmin", "rmax"])
 
     return run
 
 
 def merge_summaries(parts: DataFrame, most_parts: int, eps: float = EPS) -> DataFrame:
-    """One summary for each group from up to ``most_parts`` partial ones, whose ``salt`` runs from 0."""
-    while most_parts > 1:
+    """One summary for each group from up to ``most_parts`` partial ones, whose ``salt`` runs from 0.
+
+    Partial summaries have gaps of up to ``eps / 2``. Each level of the tree may widen them by an equal share of
+    the other half, so that a merged summary keeps a bounded number of tuples however many parts it has.
+    """
+    levels, left = 0, most_parts
+    while left > 1:
+        levels, left = levels + 1, -(-left // FAN)
+    for level in range(1, levels + 1):
         step = parts.withColumn("salt", F.floor(F.col("salt") / FAN).cast("int"))
-        parts = step.groupBy("grp", "salt").applyInPandas(_merge(eps), _SUMMARY)
-        most_parts = -(-most_parts // FAN)
+        parts = step.groupBy("grp", "salt").applyInPandas(_merge(eps / 2 * (1 + level / levels)), _SUMMARY)
     return parts
 
 

@@ -13,7 +13,7 @@ from terraloom.llm.containers import pack
 from terraloom.llm.encode import encode_corpus
 from terraloom.llm.pieces import split_oversized
 from terraloom.llm.proportional import ProportionalSample
-from terraloom.llm.quantiles import exact_ranks, merge_summaries, percentiles, summaries, usable
+from terraloom.llm.quantiles import EPS, exact_ranks, merge_summaries, percentiles, summaries, usable
 
 PHIS = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
 
@@ -105,7 +105,7 @@ def p5_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = summaries(tagged, F.concat_ws("@", "fid", "day"), F.col("dist_m"), F.col("line_id"))
     daily = daily.withColumn("salt", F.split_part(F.col("grp"), F.lit("@"), F.lit(2)).cast("int"))
     daily = daily.withColumn("grp", F.split_part(F.col("grp"), F.lit("@"), F.lit(1)))
-    return percentiles(merge_summaries(daily, (days or 0) + 1), PHIS)
+    return percentiles(merge_summaries(daily, (days or 0) + 1, 2 * EPS), PHIS)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

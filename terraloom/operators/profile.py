@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from terraloom.common import BLANKS, name_key, trim_blanks
+from terraloom.common import Scratch, name_key, trim_blanks
 from terraloom.sources.chunks import column_chunks, open_file
 
 
@@ -36,16 +36,30 @@ class Form:
     hi: float | None = None
 
     def label(self, c: Column) -> Column:
-        """``m`` for missing, ``o`` for other entries, ``v:`` and the value for admissible ones."""
+        """``m`` for missing, ``o`` for other entries, ``v:`` and the value for admissible ones.
+
+        Clean entries are settled by plain comparisons; only the rest pays for the unicode expressions.
+        """
         key = name_key(c)
         missing = key.isNull() | key.isin("na", "nan")
         if self.values:
-            good = F.when(key.isin([v.lower() for v in self.values]), F.concat(F.lit("v:"), key))
+            lower = [v.lower() for v in self.values]
+            clean, quick = F.lower(c).isin(lower), F.concat(F.lit("v:"), F.lower(c))
+            good = F.when(key.isin(lower), F.concat(F.lit("v:"), key))
         else:
-            text = trim_blanks(c)
-            number = F.when(text.rlike(r"\A[0-9]+(\.[0-9]+)?\z"), text).try_cast("double")
-            good = F.when(number.between(self.lo, self.hi), F.concat(F.lit("v:"), number.cast("string")))
-        return F.when(missing, F.lit("m")).otherwise(F.coalesce(good, F.lit("o")))
+            digits, text = r"\A[0-9]+(\.[0-9]+)?\z", trim_blanks(c)
+            clean, quick = c.rlike(digits), F.coalesce(self._number(c), F.lit("o"))
+            good = F.when(text.rlike(digits), self._number(text))
+        return (
+            F.when(c.isNull() | (c == ""), F.lit("m"))
+            .when(clean, quick)
+            .when(missing, F.lit("m"))
+            .otherwise(F.coalesce(good, F.lit("o")))
+        )
+
+    def _number(self, text: Column) -> Column:
+        n = text.try_cast("double")
+        return F.when(n.between(self.lo, self.hi), F.concat(F.lit("v:"), n.cast("string")))
 
 
 def suspicious_files(spark: SparkSession, df: DataFrame, forms: dict[str, Form]) -> dict[str, list[str]]:
@@ -83,8 +97,9 @@ def make_up(df: DataFrame, key: str, load: str, load_no: str, forms: dict[str, F
     """(load_no, load_id, col, label, n): rows of each load by label, repeats counted once."""
     labels = [f.label(F.col(c)).alias(c) for c, f in forms.items()]
     once = df.select(F.col(key).alias("_k"), F.col(load_no).alias("load_no"), F.col(load).alias("load_id"), *labels)
-    once = once.where(F.col("_k").isNotNull()).dropDuplicates(["_k"]).unionByName(once.where(F.col("_k").isNull()))
-    one_row_each = once.groupBy("load_no", "load_id", *forms).count()
+    # Repeats are identical, so distinct over everything drops them, and needs no sort as picking a first row would.
+    known, unnamed = once.where(F.col("_k").isNotNull()).distinct(), once.where(F.col("_k").isNull())
+    one_row_each = known.unionByName(unnamed).groupBy("load_no", "load_id", *forms).count()
     pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).alias("label")) for c in forms])
     return (
         one_row_each.select("load_no", "load_id", "count", F.explode(pairs).alias("p"))
@@ -94,7 +109,11 @@ def make_up(df: DataFrame, key: str, load: str, load_no: str, forms: dict[str, F
 
 
 def shifts(made: DataFrame) -> DataFrame:
-    """(col, load_no, load_id, change): half the summed absolute differences of the shares to the load before."""
+    """(col, load_no, load_id, change): half the summed absolute differences of the shares to the load before.
+
+    ``made`` is read four times and as small as the value lists, so it is written once rather than computed again.
+    """
+    made = Scratch(made.sparkSession).keep(made)
     total = made.groupBy("col", "load_no", "load_id").agg(F.sum("n").alias("rows"))
     w = Window.partitionBy("col").orderBy("load_no")  # one row per load and column
     order = total.withColumn("prev", F.lag("load_no").over(w)).withColumn("prev_rows", F.lag("rows").over(w))
@@ -117,7 +136,7 @@ def shifts(made: DataFrame) -> DataFrame:
 
 def load_profile(df: DataFrame, key: str, load: str, load_no: str, forms: dict[str, Form]) -> DataFrame:
     """Per load and column of ``forms``: rows, missing, broken, distinct entries, range, change to the load before."""
-    made = make_up(df, key, load, load_no, forms)
+    made = Scratch(df.sparkSession).keep(make_up(df, key, load, load_no, forms))
     value = F.when(F.col("label").startswith("v:"), F.substring("label", 3, 1000))
     per = made.groupBy("col", "load_no", "load_id").agg(
         F.sum("n").cast("bigint").alias("n_rows"),

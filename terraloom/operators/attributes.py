@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terraloom.common import Scratch
 from terraloom.functions.scalar import blank_to_null, number_or_null
 
 #: Enumerations and their orders.
@@ -114,20 +115,21 @@ def percentile_vector(c: Column, steps: int = 20) -> Column:
     return F.percentile(c, F.array(*[F.lit((i + 1) / steps) for i in range(steps)]))
 
 
-def percentile_rank(x: Column, values: Column) -> Column:
-    """Rank (0-100) of x among sorted values, linear between neighbours; 0 up to the least, 100 from the largest on."""
-    n = F.size(values)
-    j = F.size(F.filter(values, lambda v: v <= x))  # values up to x
-    d0, d1 = F.get(values, j - 1), F.get(values, j)
-    pos = (j - 1) + (x - d0) / (d1 - d0)
-    inner = pos / (n - 1) * 100
-    return (
-        F.when(n == 0, None).when(x <= F.get(values, F.lit(0)), 0.0).when(x >= F.get(values, n - 1), 100.0).otherwise(inner)
-    )
+def percentile_rank(x: Column, v: Column) -> Column:
+    """Aggregate: rank (0-100) of x, constant in the group, among the values v, linear between neighbours.
+
+    0 up to the least, 100 from the largest on. Needs only counts and extrema on either side of x, all combined
+    before the shuffle.
+    """
+    n, upto = F.count(v), F.count(F.when(v <= x, v))
+    d0, d1 = F.max(F.when(v <= x, v)), F.min(F.when(v > x, v))
+    edge = F.max(x)
+    inner = (upto - 1 + (edge - d0) / (d1 - d0)) / (n - 1) * 100
+    return F.when(n == 0, None).when(edge <= F.min(v), 0.0).when(edge >= F.max(v), 100.0).otherwise(inner)
 
 
 def sequential_id(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
-    """Consecutive ids in a declared order without one task holding all rows.
+    """Consecutive ids in the ascending order of the given expressions, without one task holding all rows.
 
     Rows are range-partitioned in that order, counted by partition, and numbered within their partition from the
     count of those before; only the counts, one per partition, meet in one place.
@@ -135,8 +137,6 @@ def sequential_id(df: DataFrame, order: list[Column], name: str, start: int = 1)
     cols = df.columns
     part = df.withColumns({f"_o{i}": o for i, o in enumerate(order)}).repartitionByRange(*[F.col(f"_o{i}") for i in range(len(order))])
     part = part.withColumn("_p", F.spark_partition_id())
-    from terraloom.common import Scratch
-
     part = Scratch(df.sparkSession).keep(part)
     sizes = part.groupBy("_p").count()
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)

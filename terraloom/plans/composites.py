@@ -340,14 +340,20 @@ def error_statistics(err: DataFrame, region: str, error: str, matched: str) -> D
 
 
 def cumulative_distribution(err: DataFrame, by: list[str], value: str, low: float = 2.5) -> DataFrame:
-    """(by, value, n, percent): share of all rows up to each clamped value; rows without a value count in the total only."""
+    """(by, value, n, percent): share of all rows up to each clamped value; rows without a value count in the total only.
+
+    Running sums go over slices of the value axis first and within a slice then, so no task orders a whole group.
+    """
     v = clamp_low(F.col(value), low)
     per = err.groupBy(*by, v.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    total = err.groupBy(*by).agg(F.count(F.lit(1)).alias("_total"))
-    return per.where(F.col("value").isNotNull()).withColumn("_u", upto).join(total, by).select(
-        *by, "value", "n", half_even(F.col("_u") / F.col("_total") * 100, 6).alias("percent")
-    )
+    total = per.groupBy(*by).agg(F.sum("n").alias("_total"))
+    per = per.where(F.col("value").isNotNull()).withColumn("_slice", F.floor(F.log2(F.greatest("value", F.lit(1e-9))) * 256))
+    slices = per.groupBy(*by, "_slice").agg(F.sum("n").alias("_m"))
+    before = F.sum("_m").over(Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    slices = slices.withColumn("_before", F.coalesce(before, F.lit(0))).drop("_m")
+    inside = F.sum("n").over(Window.partitionBy(*by, "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    out = per.withColumn("_u", inside).join(slices, [*by, "_slice"]).join(total, by)
+    return out.select(*by, "value", "n", half_even((F.col("_before") + F.col("_u")) / F.col("_total") * 100, 6).alias("percent"))
 
 
 def loglog_fit(err: DataFrame, x: str, y: str) -> DataFrame:
@@ -372,9 +378,9 @@ def edge_metrics(lines: DataFrame, fid: str, dist: str, edge: str, steps: int =
     """Per reef: percentiles, rank of its stated accuracy among the distances, ratios of percentiles to the accuracy."""
     made = lines.where(F.col(dist).isNotNull()).groupBy(fid).agg(
         F.count(F.lit(1)).alias("n_samples"), F.max(edge).alias("edge"), at.percentile_vector(F.col(dist), steps).alias("_p"),
-        F.sort_array(F.collect_list(dist)).alias("_v"),
+        at.percentile_rank(F.col(edge), F.col(dist)).alias("_r"),
     )
-    rank = F.when(F.col("edge").isNotNull(), half_even(at.percentile_rank(F.col("edge"), F.col("_v")), 1))
+    rank = F.when(F.col("edge").isNotNull(), half_even(F.col("_r"), 1))
     rounded = F.transform("_p", lambda p: half_even(p, 1))
     ratios = F.when(F.col("edge") > 0, F.transform(rounded, lambda p: half_even(p / F.col("edge"), 4)))
     return made.select(fid, "n_samples", "edge", rank.alias("edge_perc"), rounded.alias("percentiles"), ratios.alias("ratios"))

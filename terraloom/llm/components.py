@@ -7,8 +7,8 @@ links within one fall away, links between two become one, and the decomposition
 until no link is. The assignments of the levels are then composed from the last one back, smaller tables first.
 
 A level writes two tables to the shared folder, from which the next one starts, so a lost executor costs no
-more than the level at hand. The minimum is combined before each shuffle; a record with very many links is
-split by AQE on the join and combined again.
+more than the level at hand. The minimum is combined before each shuffle. The arcs of a record with more than
+``HUB_LINKS`` links are dealt to several tasks and meet its state there.
 
 Defined results: ids are trimmed and compared in upper case; null and blank ids name nothing; a row that names
 one id only, twice the same, or with another relation makes its ids records but links nothing. Every record
@@ -24,6 +24,7 @@ from terraloom.common import Scratch, trim_blanks
 
 BETA = 0.3
 HOPS = 6
+HUB_LINKS = 200_000
 
 
 def record_key(c: str) -> Column:
@@ -42,20 +43,36 @@ def _arcs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array(link, loop)).alias("e")).select("e.*").distinct()
 
 
-def decompose(arcs: DataFrame, level: int, beta: float = BETA, hops: int = HOPS) -> DataFrame:
+def hub_salts(arcs: DataFrame, hub_links: int = HUB_LINKS) -> DataFrame:
+    """(a, salts) of records with more than ``hub_links`` links: their arcs are dealt to so many tasks."""
+    deg = arcs.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hub_links)
+    return deg.select("a", F.ceil(F.col("n") / hub_links).cast("int").alias("salts"))
+
+
+def decompose(arcs: DataFrame, level: int, beta: float = BETA, hops: int = HOPS, hubs: DataFrame | None = None) -> DataFrame:
     """(v, c): the centre of the cluster that each end of ``arcs`` joins."""
     draw = (F.shiftrightunsigned(F.xxhash64(F.lit(level), F.col("v")), 11) + 1) * F.lit(2.0**-53)
     shift = F.least(-F.log(draw) / beta, F.lit(float(hops)))
     state = arcs.where(F.col("w") == 0).select(F.col("a").alias("v"))
     state = state.select("v", F.struct((-shift).alias("t"), F.col("v").alias("c")).alias("s"))
+    if hubs is not None:
+        salt = F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int")
+        arcs = arcs.join(hubs, "a", "left").select("a", "b", "w", salt.alias("z"))
     for _ in range(hops):
-        reached = arcs.join(state, arcs.a == state.v)
+        if hubs is None:
+            reached = arcs.join(state, arcs.a == state.v)
+        else:
+            spread = state.join(hubs.withColumnRenamed("a", "v"), "v", "left")
+            spread = spread.withColumn("y", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+            reached = arcs.join(spread.select("v", "s", "y"), (F.col("a") == F.col("v")) & (F.col("z") == F.col("y")))
         moved = F.struct((F.col("s.t") + F.col("w")).alias("t"), F.col("s.c").alias("c")).alias("s")
         state = reached.select(F.col("b").alias("v"), moved).groupBy("v").agg(F.min("s").alias("s"))
     return state.select("v", F.col("s.c").alias("c"))
 
 
-def groups(pairs: DataFrame, left: str, right: str, linked: Column, beta: float = BETA, hops: int = HOPS) -> DataFrame:
+def groups(
+    pairs: DataFrame, left: str, right: str, linked: Column, beta: float = BETA, hops: int = HOPS, hub_links: int = HUB_LINKS
+) -> DataFrame:
     """(debugid, group_id) of every id that ``left`` or ``right`` names."""
     scratch = Scratch(pairs.sparkSession)
     rows = pairs.select(record_key(left).alias("a"), record_key(right).alias("b"), F.coalesce(linked, F.lit(False)).alias("on"))
@@ -66,7 +83,8 @@ def groups(pairs: DataFrame, left: str, right: str, linked: Column, beta: float
     arcs = scratch.keep(_arcs(links.select(F.explode(both).alias("e")).select("e.*")))
     levels: list[DataFrame] = []
     while not arcs.isEmpty():
-        joined = scratch.keep(decompose(arcs, len(levels), beta, hops))
+        hubs = scratch.keep(hub_salts(arcs, hub_links))
+        joined = scratch.keep(decompose(arcs, len(levels), beta, hops, None if hubs.isEmpty() else hubs))
         levels.append(joined)
         ends = joined.select(F.col("v").alias("a"), F.col("c").alias("ca"))
         half = arcs.where(F.col("w") == 1).join(ends, "a").select("ca", F.col("b").alias("a"))
@@ -80,6 +98,7 @@ def groups(pairs: DataFrame, left: str, right: str, linked: Column, beta: float
     for below in reversed(levels[:-1]):
         up = final.withColumnRenamed("v", "c")
         final = scratch.keep(below.join(up, "c", "left").select("v", F.coalesce("top", "c").alias("top")))
-    first = final.groupBy("top").agg(F.min("v").alias("group_id"))
+    # Written, so that the join below shuffles both sides and AQE can split the rows of a giant group.
+    first = scratch.keep(final.groupBy("top").agg(F.min("v").alias("group_id")))
     named = final.join(first, "top").select("v", "group_id")
     return ids.join(named, "v", "left").select(F.col("v").alias("debugid"), F.coalesce("group_id", "v").alias("group_id"))

@@ -82,9 +82,10 @@ def groups(
     both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     arcs = scratch.keep(_arcs(links.select(F.explode(both).alias("e")).select("e.*")))
     levels: list[DataFrame] = []
-    while not arcs.isEmpty():
-        hubs = scratch.keep(hub_salts(arcs, hub_links))
-        joined = scratch.keep(decompose(arcs, len(levels), beta, hops, None if hubs.isEmpty() else hubs))
+    while n := arcs.count():
+        # A hub has more than hub_links arcs, so there is none to look for among fewer.
+        hubs = scratch.keep(hub_salts(arcs, hub_links)) if n > hub_links else None
+        joined = scratch.keep(decompose(arcs, len(levels), beta, hops, hubs))
         levels.append(joined)
         ends = joined.select(F.col("v").alias("a"), F.col("c").alias("ca"))
         half = arcs.where(F.col("w") == 1).join(ends, "a").select("ca", F.col("b").alias("a"))

@@ -9,7 +9,7 @@ one dictionary look-up; only new units are split further and encoded.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import regex
@@ -17,6 +17,9 @@ import regex
 from terraloom.common import BLANKS as _WS
 
 _LONG_RUN = re.compile(rf"[{_WS}]{{3}}|[{_WS}]{{2}}\Z|\x00")
+_SAFE = re.compile(rf"(?<=[^{_WS}]) (?=[^{_WS}])")
+#: Unit numbers held as a list before they become an array.
+MOST_LISTED = 1_000_000
 _GENERAL = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 #: Fixed value: the pre-tokenization of the public byte-level vocabulary, blanks spelled out.
 PRETOKEN = regex.compile(
@@ -24,6 +27,15 @@ PRETOKEN = regex.compile(
 )
 
 
+def safe_parts(text: str, most: int = 1_000_000) -> Iterator[str]:
+    """The text in parts of about ``most`` characters, cut before single spaces between non-blanks only."""
+    at = 0
+    while len(text) - at > most and (m := _SAFE.search(text, at + most)):
+        yield text[at : m.start()]
+        at = m.start()
+    yield text[at:] if at else text
+
+
 def split_units(text: str) -> list[str]:
     if _LONG_RUN.search(text):
         return _GENERAL.findall(text)
@@ -54,7 +66,7 @@ class UnitEncoder:
 
     def __init__(
         self, encode_words: Callable[[list[str]], list[list[int]]], describe: Callable[[list[str]], np.ndarray] | None = None,
-        most_chars: int = 24_000_000,
+        most_chars: int = 6_000_000,
     ):
         self.encode_words, self.describe, self.most_chars = encode_words, describe, most_chars
         self._reset()
@@ -108,11 +120,22 @@ class UnitEncoder:
         if self.chars > self.most_chars:
             self._reset()
         get = self.numbers.__getitem__
-        each = [list(map(get, split_units(t))) if t else [] for t in texts]
+        blocks: list[np.ndarray] = []
+        flat: list[int] = []
+        sizes: list[int] = []
+        for t in texts:
+            n = 0
+            for part in safe_parts(t) if t else ():
+                before = len(flat)
+                flat.extend(map(get, split_units(part)))
+                n += len(flat) - before
+                if len(flat) > MOST_LISTED:
+                    blocks.append(np.array(flat, np.int64))
+                    flat = []
+            sizes.append(n)
+        blocks.append(np.array(flat, np.int64))
         self._learn()
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter((x for e in each for x in e), np.int64, int(sizes.sum()))
-        return flat, sizes
+        return np.concatenate(blocks), np.array(sizes, np.int64)
 
     def gather(self, units: np.ndarray) -> np.ndarray:
         """Token ids of the units one after the other."""

@@ -3,7 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from terraloom.llm.encode import DuckMerges, encode_corpus, tiktoken_words
-from terraloom.llm.units import PRETOKEN, UnitEncoder, split_units
+from terraloom.llm.units import PRETOKEN, UnitEncoder, safe_parts, split_units
 
 #: Fixed value: the published pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -57,6 +57,16 @@ def test_operator(spark, sf):
         assert LIBRARY.decode(r.ids) == (texts[r.doc_id] or "")
 
 
+def test_very_long_text_in_parts(monkeypatch):
+    from terraloom.llm import units
+
+    text = "\n".join(f"word{i} (x),  y {i}\t\t\n\n z" for i in range(3000)) + "." * 5000
+    assert "".join(safe_parts(text, 100)) == text and len(list(safe_parts(text, 100))) > 300
+    monkeypatch.setattr(units, "MOST_LISTED", 500)
+    monkeypatch.setattr(units.safe_parts, "__defaults__", (100,))
+    assert ids_of([text]) == [LIBRARY.encode_ordinary(text)]
+
+
 def test_word_encoder_of_sizes_is_the_same():
     enc, _ = tiktoken_words()
     words = [w for t in ODD for w in PRETOKEN.findall(t)]

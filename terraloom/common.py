@@ -70,9 +70,23 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
+        self.hadoop = spark._jsc.hadoopConfiguration()
         self.root = f"{shared_dir(spark).rstrip('/')}/terraloom-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
         self.made = 0
+        atexit.register(self.clear)
+
+    def clear(self) -> None:
+        """Removes everything written here; runs at the end of the driver's process, if its JVM is still there."""
+        try:
+            self._delete(self.root)
+        except Exception:  # noqa: BLE001
+            pass
+
+    def _delete(self, path: str) -> None:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.hadoop).delete(p, True)
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.made += 1
@@ -85,6 +99,4 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         path = self.paths.pop(id(df), None)
         if path:
-            jvm = self.spark._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            self._delete(path)

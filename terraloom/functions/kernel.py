@@ -7,13 +7,15 @@ registers them; it is idempotent per session. Null in, null out; empty results a
 
 from __future__ import annotations
 
-import os
-import tempfile
+import io
+import uuid
 import zipfile
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from terraloom.common import shared_dir
+
 _PKG = "terraloom.geo"
 #: name -> (argument kinds, result type, Java statement). g: geometry, d: double, a: array of geometries.
 _OPS: dict[str, tuple[str, str, str]] = {
@@ -137,11 +139,10 @@ def ensure(spark: SparkSession) -> None:
     if spark.conf.get("terraloom.kernel", None):
         return
     jvm = spark._jvm
-    folder = tempfile.mkdtemp(prefix="terraloom-kernel-")
-    jar = os.path.join(folder, "terraloom-kernel.jar")
+    packed = io.BytesIO()
     loader = jvm.Thread.currentThread().getContextClassLoader()
     made = {}
-    with zipfile.ZipFile(jar, "w") as z:
+    with zipfile.ZipFile(packed, "w") as z:
         for name, (kinds, _, body) in _OPS.items():
             compiler = jvm.org.codehaus.janino.SimpleCompiler()
             compiler.setParentClassLoader(loader)
@@ -150,6 +151,11 @@ def ensure(spark: SparkSession) -> None:
             for cls in codes:
                 z.writestr(cls.replace(".", "/") + ".class", bytes(codes[cls]))
             made[name] = compiler.getClassLoader().loadClass(f"{_PKG}.G_{name}").newInstance()
+    jar = f"{shared_dir(spark).rstrip('/')}/terraloom-kernel-{uuid.uuid4().hex}.jar"
+    at = jvm.org.apache.hadoop.fs.Path(jar)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
     spark.sql(f"ADD JAR '{jar}'")
     types = jvm.org.apache.spark.sql.types.DataType
     for name, (_, result, _) in _OPS.items():

@@ -6,8 +6,12 @@ are cut at ``hops``, so that this many steps settle the clusters. Clusters are c
 links within one fall away, links between two become one, and the decomposition runs again on what is left
 until no link is. The assignments of the levels are then composed from the last one back, smaller tables first.
 
+Records are numbered in byte order of their ids first. The state of a record, when a cluster reaches it and which,
+is one number: the time in 1/65536 steps above ``CENTRE_BITS`` bits for the centre, so that the earliest arrival is
+a plain minimum, hashed and combined before the shuffle.
+
 A level writes two tables to the shared folder, from which the next one starts, so a lost executor costs no
-more than the level at hand. The minimum is combined before each shuffle. The arcs of a record with more than
+more than the level at hand. The arcs of a record with more than
 ``HUB_LINKS`` links are dealt to several tasks and meet its state there.
 
 Defined results: ids are trimmed and compared in upper case; null and blank ids name nothing; a row that names
@@ -21,10 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraloom.common import Scratch, trim_blanks
+from terraloom.operators.attributes import sequential_id
 
 BETA = 0.3
 HOPS = 6
 HUB_LINKS = 200_000
+CENTRE_BITS = 43
+TICKS = 65_536
 
 
 def record_key(c: str) -> Column:
@@ -50,11 +57,14 @@ def hub_salts(arcs: DataFrame, hub_links: int = HUB_LINKS) -> DataFrame:
 
 
 def decompose(arcs: DataFrame, level: int, beta: float = BETA, hops: int = HOPS, hubs: DataFrame | None = None) -> DataFrame:
-    """(v, c): the centre of the cluster that each end of ``arcs`` joins."""
+    """(v, c): the centre of the cluster that each end of ``arcs`` joins. Ends are numbers below 2 ** CENTRE_BITS."""
+    if not 0 < hops < (1 << (63 - CENTRE_BITS)) // (2 * TICKS):
+        raise ValueError(f"{hops} hops don't fit beside the centre")
     draw = (F.shiftrightunsigned(F.xxhash64(F.lit(level), F.col("v")), 11) + 1) * F.lit(2.0**-53)
     shift = F.least(-F.log(draw) / beta, F.lit(float(hops)))
+    start = F.lit(hops * TICKS).cast("bigint") - F.floor(shift * TICKS).cast("bigint")
     state = arcs.where(F.col("w") == 0).select(F.col("a").alias("v"))
-    state = state.select("v", F.struct((-shift).alias("t"), F.col("v").alias("c")).alias("s"))
+    state = state.select("v", (F.shiftleft(start, CENTRE_BITS) + F.col("v")).alias("s"))
     if hubs is not None:
         salt = F.pmod(F.xxhash64("b"), F.coalesce("salts", F.lit(1))).cast("int")
         arcs = arcs.join(hubs, "a", "left").select("a", "b", "w", salt.alias("z"))
@@ -65,9 +75,9 @@ def decompose(arcs: DataFrame, level: int, beta: float = BETA, hops: int = HOPS,
             spread = state.join(hubs.withColumnRenamed("a", "v"), "v", "left")
             spread = spread.withColumn("y", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
             reached = arcs.join(spread.select("v", "s", "y"), (F.col("a") == F.col("v")) & (F.col("z") == F.col("y")))
-        moved = F.struct((F.col("s.t") + F.col("w")).alias("t"), F.col("s.c").alias("c")).alias("s")
-        state = reached.select(F.col("b").alias("v"), moved).groupBy("v").agg(F.min("s").alias("s"))
-    return state.select("v", F.col("s.c").alias("c"))
+        moved = F.col("s") + F.when(F.col("w") == 1, F.lit(TICKS << CENTRE_BITS)).otherwise(F.lit(0).cast("bigint"))
+        state = reached.select(F.col("b").alias("v"), moved.alias("s")).groupBy("v").agg(F.min("s").alias("s"))
+    return state.select("v", F.col("s").bitwiseAND(F.lit((1 << CENTRE_BITS) - 1)).alias("c"))
 
 
 def groups(
@@ -77,9 +87,13 @@ def groups(
     scratch = Scratch(pairs.sparkSession)
     rows = pairs.select(record_key(left).alias("a"), record_key(right).alias("b"), F.coalesce(linked, F.lit(False)).alias("on"))
     rows = scratch.keep(rows.distinct())
-    ids = rows.select(F.explode(F.array("a", "b")).alias("v")).where(F.col("v").isNotNull()).distinct()
-    links = rows.where(F.col("on") & (F.col("a") != F.col("b")))
-    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    ids = rows.select(F.explode(F.array("a", "b")).alias("id")).where(F.col("id").isNotNull()).distinct()
+    ids = scratch.keep(sequential_id(ids, [F.col("id")], "v"))
+    links = rows.where(F.col("on") & (F.col("a") != F.col("b"))).select("a", "b")
+    for side in ("a", "b"):
+        number = ids.select(F.col("id").alias(side), F.col("v").alias(f"n{side}"))
+        links = links.join(number, side).drop(side)
+    both = F.array(F.struct(F.col("na").alias("a"), F.col("nb").alias("b")), F.struct(F.col("nb").alias("a"), F.col("na").alias("b")))
     arcs = scratch.keep(_arcs(links.select(F.explode(both).alias("e")).select("e.*")))
     levels: list[DataFrame] = []
     while n := arcs.count():
@@ -94,12 +108,14 @@ def groups(
         scratch.drop(arcs)
         arcs = smaller
     if not levels:
-        return ids.select(F.col("v").alias("debugid"), F.col("v").alias("group_id"))
+        return ids.select(F.col("id").alias("debugid"), F.col("id").alias("group_id"))
     final = levels[-1].select("v", F.col("c").alias("top"))
     for below in reversed(levels[:-1]):
         up = final.withColumnRenamed("v", "c")
         final = scratch.keep(below.join(up, "c", "left").select("v", F.coalesce("top", "c").alias("top")))
-    # Written, so that the join below shuffles both sides and AQE can split the rows of a giant group.
-    first = scratch.keep(final.groupBy("top").agg(F.min("v").alias("group_id")))
+    # Numbers follow the byte order of the ids. Written, so that the joins below shuffle both sides and AQE can
+    # split the rows of a giant group.
+    first = final.groupBy("top").agg(F.min("v").alias("g")).join(ids.select(F.col("v").alias("g"), F.col("id").alias("group_id")), "g")
+    first = scratch.keep(first.select("top", "group_id"))
     named = final.join(first, "top").select("v", "group_id")
-    return ids.join(named, "v", "left").select(F.col("v").alias("debugid"), F.coalesce("group_id", "v").alias("group_id"))
+    return ids.join(named, "v", "left").select(F.col("id").alias("debugid"), F.coalesce("group_id", "id").alias("group_id"))

@@ -46,6 +46,12 @@ _OPS: dict[str, tuple[str, str, str]] = {
         "java.util.List r = new java.util.ArrayList(); for (int i = 0; i < a.getNumGeometries(); i++) if (!a.getGeometryN(i).isEmpty()) r.add(out(a.getGeometryN(i)));"
         " return scala.jdk.javaapi.CollectionConverters.asScala(r).toSeq();",
     ),
+    "coords": (
+        "g", "array<double>",
+        "java.util.List r = new java.util.ArrayList(); org.locationtech.jts.geom.Coordinate[] c = a.getCoordinates();"
+        " for (int i = 0; i < c.length; i++) { r.add(Double.valueOf(c[i].x)); r.add(Double.valueOf(c[i].y)); }"
+        " return scala.jdk.javaapi.CollectionConverters.asScala(r).toSeq();",
+    ),
     "polygons_only": (
         "g", "binary",
         "java.util.List p = org.locationtech.jts.geom.util.PolygonExtracter.getPolygons(a);"
@@ -164,7 +170,7 @@ def ensure(spark: SparkSession) -> None:
         elif result == "struct":
             kind = types.fromDDL("geom binary, n int")
         else:
-            kind = jvm.org.apache.spark.sql.types.DataTypes.createArrayType(jvm.org.apache.spark.sql.types.DataTypes.BinaryType)
+            kind = types.fromDDL(f"v {result}").fields()[0].dataType()
         spark._jsparkSession.udf().register(f"geo_{name}", made[name], kind)
     spark.conf.set("terraloom.kernel", "ready")
 

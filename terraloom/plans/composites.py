@@ -14,8 +14,8 @@ from pyspark.sql.window import Window
 
 from terraloom.functions.kernel import geo, with_bounds
 from terraloom.functions.scalar import (
-    clamp_low, differs, effective_width, geodesic, half_even, hashed_normal, hashed_uniform, int_or_null, lonlat_to_3112,
-    mercator_to_lonlat, number_or_null, pair_key, safe_ratio, size_class, split_list,
+    box_ring, clamp_low, differs, effective_width, geodesic, half_even, hashed_normal, hashed_uniform, int_or_null, lonlat_to_3112,
+    mercator_to_lonlat, number_or_null, pair_key, ring_wkt, safe_ratio, size_class, split_list,
 )
 from terraloom.operators import attributes as at
 from terraloom.operators.graph import connected_components, greedy_match
@@ -469,6 +469,48 @@ def decoy_count(n_real: int, share: float = 0.3) -> int:
     return int(round(share * n_real / (1 - share)))
 
 
+def fuzzed_extent(geom: str, key: str, tolerance: float, fuzz: float, seed: int) -> Column:
+    """Box struct<x0, y0, x1, y1> around the simplified geometry with each vertex moved by up to ``fuzz`` in x and y."""
+    flat = geo("coords", geo("simplify", geom, tolerance))
+    jig = lambda v, i: v + (hashed_uniform(seed, key, i) * 2 - 1) * fuzz
+    axis = lambda odd: F.transform(F.filter(F.transform(flat, lambda v, i: F.struct(jig(v, i).alias("v"), i.alias("i"))), lambda s: s["i"] % 2 == odd), lambda s: s["v"])
+    x, y = axis(0), axis(1)
+    return F.struct(F.array_min(x).alias("x0"), F.array_min(y).alias("y0"), F.array_max(x).alias("x1"), F.array_max(y).alias("y1"))
+
+
+def boundary_points(layer: DataFrame, land: DataFrame, cell: float, key: str, tries: int = 10, seed: int = 1) -> DataFrame:
+    """(key, geom): a random place on each outline that is not on land; the first of up to ``tries`` draws, else none."""
+    line = layer.select(key, geo("boundary", "geom").alias("_l")).withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
+    spot = geo("point_along", "_l", geo("length", "_l") * hashed_uniform(seed, key, "t"))
+    draws = with_bounds(line.select(F.struct(key, "t").alias("fid"), spot.alias("geom")))
+    wet = spatial_join(draws, land.select("fid", "geom", "x0", "y0", "x1", "y1"), cell, on=geo("contains", "r_geom", "l_geom"), how="anti")
+    first = wet.groupBy(F.col(f"fid.{key}").alias(key)).agg(F.min_by("geom", "fid.t").alias("geom"))
+    return first
+
+
+def validation_batch(
+    features: DataFrame, land: DataFrame, batch: int, per_region: int, mask: Column, box: tuple[float, float, float, float], cell: float,
+    seed: int = 1, share: float = 0.3, tolerance_m: float = 50.0, fuzz_m: float = 50.0,
+) -> DataFrame:
+    """One batch for reviewers: (valid_id, fake, centroid, extent, boundary) of sampled features and of decoys, shuffled.
+
+    ``features``: fid, regionid, geom in degrees. A feature without a wet boundary point keeps a null one.
+    """
+    chosen = stratified_batches(features, "regionid", "fid", per_region, seed).where(F.col("batch") == batch)
+    real = features.join(chosen.select("fid"), "fid", "left_semi").select(F.concat(F.lit("r"), F.col("fid").cast("string")).alias("key"), "geom")
+    fake = decoys(decoy_count(real.count(), share), features, mask, box, seed + batch)
+    w, h = F.col("width_m") / 222000, F.col("width_m") / F.col("aspect") / 222000
+    ring = ring_wkt(box_ring(F.col("x") - w, F.col("y") - h, F.col("x") + w, F.col("y") + h))
+    fake = fake.select(F.concat(F.lit("f"), F.col("no").cast("string")).alias("key"), geo("from_text", ring).alias("geom"))
+    every = real.withColumn("fake", F.lit(False)).unionByName(fake.withColumn("fake", F.lit(True)))
+    every = at.sequential_id(every.withColumn("_u", hashed_uniform(seed + 9, "key")), [F.col("_u"), F.col("key")], "valid_id")
+    spots = boundary_points(every, land, cell, "key", seed=seed).withColumnRenamed("geom", "boundary")
+    deg = 1 / 111000
+    extent = fuzzed_extent("geom", "key", tolerance_m * deg, fuzz_m * deg, seed)
+    out = every.select("key", "valid_id", "fake", geo("inside_point", "geom").alias("centroid"), extent.alias("extent"))
+    return out.join(spots, "key", "left").drop("key")
+
+
 # Catalogues
 
 

@@ -70,7 +70,6 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_footers, p3_found, p4_found)}
 
-_BL = "chr(9)||chr(10)||chr(11)||chr(12)||chr(13)||' '||chr(133)||chr(160)||chr(12288)"
 _KEY = r"nullif(lower(trim(regexp_replace({c}, '[\s\x{{85}}\x{{A0}}\x{{3000}}]+', ' ', 'g'))), '')"
 
 
@@ -101,7 +100,28 @@ moved AS (
   SELECT col, load_no, sum(abs(d)) / 2 AS change
   FROM (SELECT col, load_no, label, sum(s) AS d FROM both_loads GROUP BY ALL) GROUP BY ALL)"""
 
+_FLAT = {
+    "nw_features": (
+        "row_id fid load_no area_km2 lon lat",
+        "debugid load_id loaded_at regionname rb_type_l3 attachment featconf typeconf depthcat depthcatsr edgesrc edgeacc_m",
+    ),
+    "match_lines": ("line_id fid sid dist_m edgeacc_m x0 y0 x1 y1", "run_day loaded_at"),
+    "position_error": ("err_id validid actlon actlat matchlon matchlat error_m edgeacc_m", "assessment matchfnd regionname observed_at loaded_at"),
+}
+
+
+def _footer_row(tab: str, col: str, number: bool) -> str:
+    ends = [f"{f}(CAST({col} AS DOUBLE)) FILTER (WHERE NOT isnan(CAST({col} AS DOUBLE)))" if number else "CAST(NULL AS DOUBLE)" for f in ("min", "max")]
+    return (
+        f"SELECT '{tab}' AS tab, '{col}' AS col, count(*) AS n_rows, count(*) - count({col}) AS n_nulls, "
+        f"count(DISTINCT {col}) AS n_distinct, {ends[0]} AS lo_num, {ends[1]} AS hi_num FROM {tab}"
+    )
+
+
 SQL = {
+    "p2_footers": "\nUNION ALL\n".join(
+        _footer_row(t, c, number) for t, kinds in _FLAT.items() for number, cols in zip((True, False), kinds, strict=True) for c in cols.split()
+    ),
     "p2_found": f"""WITH {_SHIFTS}
 SELECT 'value' AS kind, load_id, col, row_id FROM labels WHERE label = 'o'
 UNION ALL

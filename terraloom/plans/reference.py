@@ -674,3 +674,12 @@ def validation_decoys(spark, d):
     """As many decoys as the share asks for, at places away from land."""
     n = cp.decoy_count(table(spark, d, "nation").count() * 10)
     return cp.decoys(n, table(spark, d, "nation"), (F.col("x") + F.col("y")) % 7 > 2, (112.0, -24.0, 142.0, -9.0), 5)
+
+
+@query()
+def validation_batch(spark, d):
+    """One batch of real features and decoys with centroid, extent and boundary point."""
+    scaled = {c: (120 if c[0] == "x" else -20) + F.col(c) / 1000 for c in ("x0", "y0", "x1", "y1")}
+    r = _with_geom(layer(spark, d, "rects").withColumns(scaled)).withColumn("regionid", F.col("fid") % 12)
+    land = _with_geom(layer(spark, d, "land").withColumns(scaled))
+    return cp.validation_batch(r, land, 0, 10, F.col("x") > F.col("y") + 138, (120.0, -20.0, 124.0, -16.0), 0.05)

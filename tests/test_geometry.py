@@ -154,3 +154,14 @@ def test_dither_stays_in_range(spark):
     df = spark.range(500).select(F.col("id").alias("fid"), F.lit(2.0).alias("edgeacc_m"))
     r = cp.dithered(df).agg(F.min("ratio"), F.max("ratio"), F.count_if(F.col("buffer_m") < 0), F.count_if(F.col("ratio").isNull())).first()
     assert r[0] >= 0.05 and r[1] <= 2.0 and 180 < r[2] < 320 and r[3] == 0
+
+
+def test_validation_batch(spark, sf):
+    from terraloom.plans.reference import QUERIES
+
+    ensure(spark)
+    rows = QUERIES["validation_batch"](spark, sf.replace("0.001", "0.01")).select("valid_id", "fake", "extent", geo("x0", "centroid").alias("cx"), geo("y0", "centroid").alias("cy"), geo("x0", "boundary").alias("bx")).collect()
+    assert sorted(r.valid_id for r in rows) == list(range(1, 172)) and sum(r.fake for r in rows) == 51
+    for r in rows:
+        assert r.extent.x0 - 0.001 < r.cx < r.extent.x1 + 0.001 and r.extent.y0 - 0.001 < r.cy < r.extent.y1 + 0.001
+    assert sum(r.bx is None for r in rows) <= 5

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terraloom.common import position_ok
+from terraloom.common import Scratch, position_ok
 
 EARTH_M = 6_371_008.8
 CELL_ROWS = 2_000
@@ -58,10 +58,12 @@ def near_pairs(points: DataFrame, id_col: str, lon: str, lat: str, metres: float
     band = F.floor(F.col("y") / step).cast("int")
     home = places.withColumn("band", band).withColumn("n", _columns_in_band(F.col("band"), step))
     home = home.withColumn("col", F.pmod(F.floor((F.col("x") + 180.0) / 360.0 * F.col("n")).cast("int"), F.col("n")))
+    # Read from four places below, each with other columns, so that Spark cannot share the work: written once.
+    home = Scratch(points.sparkSession).keep(home)
     crowd = home.groupBy("band", "col").count().where(F.col("count") > CELL_ROWS)
     crowd = crowd.select("band", "col", F.ceil(F.col("count") / CELL_ROWS).cast("int").alias("blocks"))
-    home = home.join(crowd, ["band", "col"], "left").fillna(1, ["blocks"])
-    home = home.withColumn("block", F.pmod(F.xxhash64("x", "y"), F.col("blocks")).cast("int"))
+    own = home.join(crowd, ["band", "col"], "left").fillna(1, ["blocks"])
+    own = own.withColumn("block", F.pmod(F.xxhash64("x", "y"), F.col("blocks")).cast("int"))
     # Half-width in degrees of longitude of the circle around (x, y).
     reach = F.radians(F.lit(step))
     near_pole = F.abs(F.col("y")) + step >= 90.0
@@ -86,7 +88,7 @@ def near_pairs(points: DataFrame, id_col: str, lon: str, lat: str, metres: float
     same_band = F.floor(F.col("qy") / step) == F.col("band")
     ordered = F.struct("qx", "qy") < F.struct("x", "y")
     met = (
-        look.join(home.select("band", "col", "block", "x", "y", "ids"), ["band", "col", "block"])
+        look.join(own.select("band", "col", "block", "x", "y", "ids"), ["band", "col", "block"])
         .where(~same_band | ordered)
         .withColumn("metres", dist)
         .where(F.col("metres") <= metres)
@@ -97,7 +99,7 @@ def near_pairs(points: DataFrame, id_col: str, lon: str, lat: str, metres: float
         .select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"), "metres")
     )
     at_one_place = (
-        places.where(F.size("ids") > 1)
+        home.where(F.size("ids") > 1)
         .select("ids", F.posexplode("ids").alias("at", "key_a"))
         .select("key_a", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("key_b"))
         .select("key_a", "key_b", F.lit(0.0).alias("metres"))

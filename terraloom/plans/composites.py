@@ -191,6 +191,22 @@ def difference(features: DataFrame, minus: DataFrame, cell: float, polygons: boo
     return with_bounds(out.where(F.col("geom").isNotNull() & ~geo("is_empty", "geom")))
 
 
+def clip(features: DataFrame, mask: DataFrame, cell: float) -> DataFrame:
+    """What of each feature lies in the union of the mask features it meets; attributes stay, emptied features go."""
+    hits = box_pairs(features.select("fid", "geom", "x0", "y0", "x1", "y1"), mask.select("fid", "geom", "x0", "y0", "x1", "y1"), cell)
+    keep = hits.where(exact("intersects")).groupBy(F.col("l_fid").alias("fid")).agg(geo("union_all", F.collect_list("r_geom")).alias("_keep"))
+    out = features.join(keep, "fid").withColumn("geom", geo("intersection", "geom", "_keep")).drop("_keep")
+    return with_bounds(out.where(~geo("is_empty", "geom")))
+
+
+def feature_mask(reefs: DataFrame, coast: DataFrame, regions: DataFrame, land: DataFrame, cell: float, reach: float = 0.05, tolerance: float = 0.001) -> DataFrame:
+    """Search area around reefs and the regions' coast, less land: buffered, simplified parts rather than one geometry."""
+    near = reefs.select("geom", "x0", "y0", "x1", "y1").unionByName(clip(coast, regions, cell).select("geom", "x0", "y0", "x1", "y1"))
+    grown = with_bounds(near.select(geo("buffer", geo("simplify", "geom", tolerance), reach).alias("geom"))).withColumn("fid", F.xxhash64("geom"))
+    wet = difference(grown.dropDuplicates(["fid"]), land, cell)
+    return with_bounds(wet.select("fid", geo("simplify", "geom", tolerance).alias("geom")))
+
+
 def single_parts(layer: DataFrame) -> DataFrame:
     """One row per part, with the part's own box."""
     return with_bounds(layer.withColumn("geom", F.explode(geo("parts", "geom"))))

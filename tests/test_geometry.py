@@ -165,3 +165,13 @@ def test_validation_batch(spark, sf):
     for r in rows:
         assert r.extent.x0 - 0.001 < r.cx < r.extent.x1 + 0.001 and r.extent.y0 - 0.001 < r.cy < r.extent.y1 + 0.001
     assert sum(r.bx is None for r in rows) <= 5
+
+
+def test_clip_and_feature_mask(shapes):
+    window = with_bounds(shapes.sparkSession.range(1).select(F.lit(1).alias("fid"), geo("from_text", F.lit("POLYGON ((3 -1, 5 -1, 5 9, 3 9, 3 -1))")).alias("geom")))
+    got = {r.fid: r.a for r in cp.clip(shapes, window, 2.0).select("fid", geo("area", "geom").alias("a")).collect()}
+    assert got == {1: 4.0, 2: 8.0}
+    mask = cp.feature_mask(shapes.where("fid = 2"), shapes.where("fid = 1"), window, shapes.where("fid = 1"), 2.0, 0.5)
+    land = shapes.where("fid = 1").select("fid", "geom", "x0", "y0", "x1", "y1")
+    overlap = box_pairs(mask, land, 2.0).agg(F.sum(geo("area", geo("intersection", "l_geom", "r_geom")))).first()[0]
+    assert mask.count() == 2 and overlap < 0.02

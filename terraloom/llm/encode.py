@@ -74,7 +74,7 @@ class DuckMerges:
                 "rank": pa.array(range(len(raw)), pa.int64()),
             }
         )
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "600MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
         self.db.register("given", merge_table)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.db.unregister("given")

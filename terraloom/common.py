@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import io
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +65,33 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def store(spark: SparkSession, name: str, data: bytes) -> str:
+    """Writes a file to the shared folder and gives its path."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    stream.write(bytearray(data))
+    stream.close()
+    return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, which need not have it installed; once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent).as_posix())
+    spark.sparkContext.addPyFile(store(spark, f"terraloom-{uuid.uuid4().hex}.zip", packed.getvalue()))
+    _SHIPPED.add(app)
+
+
 class Scratch:
     """Tables written to the shared folder so that a plan can start afresh from them.
 

@@ -14,7 +14,7 @@ import zipfile
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.common import shared_dir
+from terraloom.common import store
 
 _PKG = "terraloom.geo"
 #: name -> (argument kinds, result type, Java statement). g: geometry, d: double, a: array of geometries.
@@ -157,11 +157,7 @@ def ensure(spark: SparkSession) -> None:
             for cls in codes:
                 z.writestr(cls.replace(".", "/") + ".class", bytes(codes[cls]))
             made[name] = compiler.getClassLoader().loadClass(f"{_PKG}.G_{name}").newInstance()
-    jar = f"{shared_dir(spark).rstrip('/')}/terraloom-kernel-{uuid.uuid4().hex}.jar"
-    at = jvm.org.apache.hadoop.fs.Path(jar)
-    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
-    stream.write(bytearray(packed.getvalue()))
-    stream.close()
+    jar = store(spark, f"terraloom-kernel-{uuid.uuid4().hex}.jar", packed.getvalue())
     spark.sql(f"ADD JAR '{jar}'")
     types = jvm.org.apache.spark.sql.types.DataType
     for name, (_, result, _) in _OPS.items():

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terraloom.common import name_key
 from terraloom.functions.kernel import geo, with_bounds
 from terraloom.functions.scalar import (
     box_ring, clamp_low, differs, effective_width, geodesic, half_even, hashed_normal, hashed_uniform, int_or_null, lonlat_to_3112,
@@ -46,6 +47,16 @@ def crosswalk_by_list(features: DataFrame, crosswalk: DataFrame, old: str, new:
     return features.join(pairs, features[on] == pairs["_old"], "left").drop("_old", on).withColumnRenamed("_new", on)
 
 
+def crosswalk_by_name(features: DataFrame, pairs: DataFrame, old: str, new: str, on: str) -> DataFrame:
+    """Renames classes by a table with one name in each row, compared as names compare; unmatched classes become null.
+
+    Raises if a name stands in two rows of the table.
+    """
+    keyed = pairs.select(name_key(old).alias("_old"), F.col(new).alias("_new")).where(F.col("_old").isNotNull())
+    at.require(at.duplicate_keys(keyed, "_old"), "class mapped twice")
+    return features.join(keyed, name_key(features[on]) == keyed["_old"], "left").drop("_old", on).withColumnRenamed("_new", on)
+
+
 def crosswalk_by_dict(features: DataFrame, mapping: DataFrame, on: str, fields: list[str]) -> DataFrame:
     """Attribute sets by class; a class that isn't mapped gets 'Unknown' in each field, and 'N' in ``Paleo``."""
     known = mapping.select(F.col(on), F.lit(True).alias("_known"), *fields)

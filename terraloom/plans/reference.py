@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terraloom.common import name_key, table
 from terraloom.functions import scalar as fn
 from terraloom.operators import attributes as at
+from terraloom.operators.packed import split_packed, vocabulary
 from terraloom.operators.spatial import box_area, box_distance, box_pairs, common_area, nearest, spatial_join
 from terraloom.plans import composites as cp
 from terraloom.plans.fixtures import cte, layer
@@ -142,9 +143,11 @@ def projection_3112(spark, d):
 
 
 def _crosswalk(spark, d):
-    """Class lists of the crosswalk, one row for each class and the lowest row that names it."""
-    cw = table(spark, d, "rb_type_l3_crosswalk").where(~F.col("rb_type_l3_v0_3").rlike("['\"]"))
-    return cw.select(F.col("cw_id").alias("row_no"), F.explode(fn.split_list("rb_type_l3_v0_3")).alias("old"), F.col("rb_type_l3_v0_4").alias("new"))
+    """Names in the class lists of the crosswalk, in the form in which names compare, one row for each name and place."""
+    cw = table(spark, d, "rb_type_l3_crosswalk")
+    names = vocabulary(table(spark, d, "nw_features"), "rb_type_l3")
+    read = split_packed(cw, "cw_id", "rb_type_l3_v0_3", names).select(F.col("row_key").alias("row_no"), name_key("val").alias("old"))
+    return read.join(cw.select(F.col("cw_id").alias("row_no"), F.col("rb_type_l3_v0_4").alias("new")).distinct(), "row_no")
 
 
 _CW = """long AS (SELECT cw_id, trim(unnest(string_split(rb_type_l3_v0_3, ';'))) AS old, rb_type_l3_v0_4 AS new FROM rb_type_l3_crosswalk
@@ -155,7 +158,7 @@ _CW = """long AS (SELECT cw_id, trim(unnest(string_split(rb_type_l3_v0_3, ';')))
 def crosswalk_explode(spark, d):
     """List field exploded, classes overwritten, unmatched ones null."""
     pairs = _crosswalk(spark, d).groupBy("old").agg(F.min_by(F.struct("new"), "row_no")["new"].alias("new"))
-    return cp.crosswalk_by_list(table(spark, d, "nw_features").select("row_id", "rb_type_l3"), pairs, "old", "new", "rb_type_l3")
+    return cp.crosswalk_by_name(table(spark, d, "nw_features").select("row_id", "rb_type_l3"), pairs, "old", "new", "rb_type_l3")
 
 
 @query("""WITH long AS (SELECT trim(unnest(string_split(rb_type_l3_v0_3, ';'))) AS old FROM rb_type_l3_crosswalk WHERE NOT regexp_matches(rb_type_l3_v0_3, '[''"]'))

@@ -80,7 +80,7 @@ LAYERS: dict[str, tuple[str, dict[str, str], str | None]] = {
             "x1": _D(f"({_C} * 7001) % 4000 + 5"), "y1": _D(f"({_C} * 3907) % 4000 + 5"),
             "source": _pick(_C, 4, ["bath_m", "bath_i", "cht_m", "cht_i"]),
         },
-        f"{_C} % 15 = 0",
+        None,
     ),
     "spots": ("events", {"fid": _E, "x": _D(f"({_E} * 31) % 4000"), "y": _D(f"({_E} * 57) % 4000 + 0.5")}, None),
     "squares": (

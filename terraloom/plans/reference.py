@@ -270,8 +270,7 @@ def nearest_within(spark, d):
 @query(f"""WITH {cte('rects', 'squares')} SELECT l.fid, regionid, {_COMMON} AS area FROM rects l JOIN squares r ON {_MEET} WHERE regionid < 12 AND {_COMMON} > 0""")
 def clip_area(spark, d):
     """G19, G26 on rectangles: features cut to a mask, empties dropped."""
-    sq = layer(spark, d, "squares").where("regionid < 12")
-    return box_pairs(layer(spark, d, "rects"), sq, 400.0).select(F.col("l_fid").alias("fid"), F.col("r_regionid").alias("regionid"), common_area().alias("area")).where("area > 0")
+    return box_pairs(layer(spark, d, "rects"), layer(spark, d, "squares"), 400.0).select(F.col("l_fid").alias("fid"), F.col("r_regionid").alias("regionid"), common_area().alias("area")).where("area > 0")
 
 
 # Components, clusters, sources

@@ -9,7 +9,8 @@ other summary; compression drops tuples as long as no gap between neighbours gro
 uncertainty. ``err`` is the error that has accumulated, as a share of the rows: half the widest gap.
 
 Groups of up to ``1 / eps`` rows are kept whole and come out exact. Where a decision needs an exact percentile of
-a larger group, ``exact_ranks`` narrows the bracket between two tuples round by round, reading that group only.
+a larger group, ``exact_ranks`` narrows the bracket between two tuples round by round, reading that group only;
+ties at both ends are counted, so every round takes at least two distinct values off and ties cannot stall it.
 
 Defined results: null, NaN, infinite and negative values are not usable and are left out; null groups and null
 keys are left out; a key counts once per group and value; a group without usable values has no summary.
@@ -247,7 +248,7 @@ def exact_ranks(
     """(grp, exact): the percentile itself for the groups of ``todo`` (grp)."""
     scratch = Scratch(df.sparkSession)
     src = df.select(grp.cast("string").alias("grp"), value.cast("double").alias("v"), key.cast("bigint").alias("key"))
-    src = src.where(usable(F.col("v"))).join(todo.select("grp"), "grp", "left_semi")
+    src = src.where(usable(F.col("v")) & F.col("key").isNotNull()).join(todo.select("grp"), "grp", "left_semi")
     src = scratch.keep(src.dropDuplicates(["grp", "key", "v"]))
     size = src.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     state = size.select("grp", "n", F.lit(0.0).alias("lo"), F.lit(float("inf")).alias("hi"), F.lit(0).cast("bigint").alias("below"))
@@ -261,20 +262,35 @@ def exact_ranks(
                 r1, r2, f = target_ranks(int(r.n), phi)
                 (a, b1), (c, d) = s.bracket(r1 - int(r.below)), s.bracket(r2 - int(r.below))
                 exact = a + (c - a) * f if a == b1 and c == d else None
-                rows.append((r.grp, r.n, a, d, exact))
-            yield pd.DataFrame(rows, columns=["grp", "n", "lo", "hi", "exact"])
-
+                rows.append((r.grp, r.n, a, d, r1, r2, f, exact))
+            yield pd.DataFrame(rows, columns=["grp", "n", "lo", "hi", "r1", "r2", "share", "exact"])
+
+    step_schema = "grp string, n bigint, lo double, hi double, r1 bigint, r2 bigint, share double, exact double"
+    v, lo, hi = src["v"], F.col("lo"), F.col("hi")
+    inside = (v > lo) & (v < hi)
+    upto_lo, upto_inner = F.col("below") + F.col("ties"), F.col("below") + F.col("ties") + F.col("inner")
+    at_end = lambda r: F.when(F.col(r) <= upto_lo, lo).when(F.col(r) > upto_inner, hi)
     while True:
-        near = src.join(state, "grp").where(F.col("v").between(F.col("lo"), F.col("hi")))
+        near = src.join(state, "grp").where(v.between(lo, hi))
         made = summaries(near, F.col("grp"), F.col("v"), F.col("key"), eps, hot_rows).withColumnRenamed("n", "inside")
-        step = made.join(state.select("grp", "n", "below"), "grp").mapInPandas(narrow, "grp string, n bigint, lo double, hi double, exact double")
-        step = scratch.keep(step)
+        step = scratch.keep(made.join(state.select("grp", "n", "below"), "grp").mapInPandas(narrow, step_schema))
         found.append(step.where(F.col("exact").isNotNull()).select("grp", "exact"))
-        left = step.where(F.col("exact").isNull())
+        left = step.where(F.col("exact").isNull()).drop("exact")
         if left.isEmpty():
             break
-        under = src.join(left, "grp").groupBy("grp").agg(F.count(F.when(src.v < F.col("lo"), 1)).alias("below"))
-        state = scratch.keep(left.join(under, "grp").select("grp", "n", "lo", "hi", "below"))
+        # Both ends are counted, so a rank among their ties is settled, and the next bracket lies strictly between them.
+        counted = src.join(left, "grp").groupBy(*left.columns).agg(
+            F.count_if(v < lo).alias("below"), F.count_if(v == lo).alias("ties"), F.count_if(inside).alias("inner"),
+            F.min(F.when(inside, v)).alias("first"), F.max(F.when(inside, v)).alias("last"),
+        )
+        counted = scratch.keep(counted.withColumns({"v1": at_end("r1"), "v2": at_end("r2")}))
+        known = counted.where(F.col("v1").isNotNull() | F.col("v2").isNotNull())
+        one, two = F.coalesce("v1", "last"), F.coalesce("v2", "first")
+        found.append(known.select("grp", (one + (two - one) * F.col("share")).alias("exact")))
+        still = counted.where(F.col("v1").isNull() & F.col("v2").isNull())
+        if still.isEmpty():
+            break
+        state = still.select("grp", "n", F.col("first").alias("lo"), F.col("last").alias("hi"), upto_lo.alias("below"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

@@ -5,16 +5,16 @@ are compared by cosine, and a gap's depth is how far its similarity lies below t
 gaps to the left and right. A piece ends at the deepest valley between ``FILL`` of the limit and the limit: among
 breaks of the page itself (blank lines, form feeds) if the window holds any, else among line ends, else at the last
 word end, and inside a word only where a single run of characters fills the window. The next piece starts
-``overlap`` tokens before that. Word counts are kept in ``DIMS`` hashed places per line.
+``overlap`` tokens before that. Words are numbered and counted exactly. In a document without lines sentences are the
+units, and in one without those either, runs of ``WORDS`` units.
 
 Defined results: documents of at most the limit give no piece, nor do null and empty texts; every token is in a
 piece; consecutive pieces share exactly ``overlap`` tokens; ``text`` is the characters of the tokens, and a character whose
-bytes a cut divides is in both pieces. ``ends_at`` says at what a piece ends: page, line, word, token or end.
+bytes a cut divides is in both pieces. ``ends_at`` says at what a piece ends: page, line, sentence, word, token or end.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,33 +25,55 @@ from pyspark.sql import functions as F
 from terraloom.llm.encode import TOKENIZERS, chunks, worker_encoder
 from terraloom.llm.units import UnitEncoder
 
-DIMS, BLOCK, REACH, FILL = 64, 6, 10, 0.5
-_LINE, _PAGE, _FEED = 1, 2, 4
+BLOCK, REACH, FILL, WORDS = 6, 10, 0.5, 12
+_LINE, _PAGE, _FEED, _SENTENCE = 1, 2, 4, 8
+#: Numbers of the words in the memory of this worker's encoder; emptied with it.
+_WORDS: dict[str, int] = {}
+
+
+def forget_words() -> None:
+    _WORDS.clear()
 
 
 def describe(units: list[str]) -> np.ndarray:
-    """Bits 0-2: holds a line end, is a break of the page, starts with a form feed; above: hashed word plus 1, 0 for none."""
+    """Bits 0-3: holds a line end, is a break of the page, starts with a form feed, ends a sentence; above: number of the word from 1, 0 for none."""
     out = np.zeros(len(units), np.int64)
     for k, u in enumerate(units):
         word = "".join(filter(str.isalnum, u)).casefold()
-        term = 1 + zlib.crc32(word.encode("utf-8", "replace")) % DIMS if len(word) > 3 else 0
+        term = _WORDS.setdefault(word, len(_WORDS) + 1) if len(word) > 3 else 0
         flags = _LINE * ("\n" in u) | _PAGE * (u.count("\n") > 1 or (u.isspace() and "\x0c" in u)) | _FEED * (u[0] == "\x0c")
-        out[k] = term << 3 | flags
+        flags |= _SENTENCE * u.rstrip("\"')]").endswith((".", "!", "?", chr(0x3002)))
+        out[k] = term << 4 | flags
     return out
 
 
+def likeness(terms: np.ndarray, line: np.ndarray, n_lines: int) -> np.ndarray:
+    """Cosine of the exact word counts of the blocks on either side of each gap, from the products of nearby lines."""
+    width = n_lines + 2 * BLOCK
+    keys, n = np.unique(terms * width + line, return_counts=True)
+    at = keys % width
+    same = np.zeros((2 * BLOCK, n_lines + 2 * BLOCK), np.int64)  # same[k, BLOCK + i]: product of lines i and i + k
+    for k in range(2 * BLOCK if len(keys) else 0):
+        to = np.minimum(np.searchsorted(keys, keys + k), len(keys) - 1)
+        hit = keys[to] == keys + k
+        np.add.at(same[k], BLOCK + at[hit], n[hit] * n[to[hit]])
+    size = n_lines + BLOCK
+    norm = np.zeros(size, np.int64)  # of the block that starts at line i - BLOCK
+    for i in range(BLOCK):
+        for j in range(i, BLOCK):
+            norm += same[j - i, i : i + size] * (1 if i == j else 2)
+    gap = np.arange(1, n_lines)
+    both = np.zeros(len(gap), np.int64)
+    for a in range(1, BLOCK + 1):
+        both += same[a : a + BLOCK, BLOCK + gap - a].sum(axis=0)
+    return both / np.maximum(np.sqrt(norm[gap].astype(float) * norm[gap + BLOCK]), 1e-9)
+
+
 def depths(notes: np.ndarray, line: np.ndarray, n_lines: int) -> np.ndarray:
     """Depth of the valley at each gap between consecutive lines."""
-    terms = notes >> 3
+    terms = notes >> 4
     has = terms > 0
-    counts = np.bincount(line[has] * DIMS + terms[has] - 1, minlength=n_lines * DIMS).reshape(n_lines, DIMS)
-    upto = np.zeros((n_lines + 1, DIMS), np.float32)
-    np.cumsum(counts, axis=0, out=upto[1:])
-    gap = np.arange(1, n_lines)
-    left = upto[gap] - upto[np.maximum(gap - BLOCK, 0)]
-    right = upto[np.minimum(gap + BLOCK, n_lines)] - upto[gap]
-    norm = np.sqrt(np.einsum("ij,ij->i", left, left) * np.einsum("ij,ij->i", right, right))
-    alike = np.einsum("ij,ij->i", left, right) / np.maximum(norm, 1e-9)
+    alike = likeness(terms[has], line[has], n_lines)
     padded = np.concatenate([np.full(REACH, -1.0), alike, np.full(REACH, -1.0)])
     windows = np.lib.stride_tricks.sliding_window_view(padded, REACH + 1)
     peak_left, peak_right = windows[: len(alike)].max(axis=1), windows[REACH:].max(axis=1)
@@ -68,7 +90,11 @@ class Page:
         notes = enc.notes[units]
         ends = (notes & _LINE) > 0
         is_gap = ends[:-1] & ~ends[1:] if len(units) > 1 else np.zeros(0, bool)
-        at = np.flatnonzero(is_gap) + 1  # units before which a line starts
+        at, self.kind = np.flatnonzero(is_gap) + 1, "line"  # units before which a line starts
+        if not len(at):
+            at, self.kind = np.flatnonzero((notes[:-1] & _SENTENCE) > 0) + 1, "sentence"
+        if not len(at):
+            at, self.kind = np.arange(WORDS, len(units), WORDS), "word"
         line = np.zeros(len(units), np.int64)
         line[at] = 1
         line = np.cumsum(line)
@@ -84,7 +110,7 @@ class Page:
             lo, hi = start + max(int(FILL * limit), overlap + 1), start + limit
             i, j = np.searchsorted(self.at, lo, "left"), np.searchsorted(self.at, hi, "right")
             if i < j:
-                pick, kind = np.arange(i, j), "line"
+                pick, kind = np.arange(i, j), self.kind
                 if self.hard[i:j].any():
                     pick, kind = pick[self.hard[i:j]], "page"
                 depth = self.depth[pick]
@@ -128,6 +154,8 @@ def split_oversized(docs: DataFrame, limits: list[tuple[int, int]], name: str =
         for whole in batches:
             for b in chunks(whole, 1):
                 texts = b.column(1).to_pylist()
+                if enc.chars > enc.most_chars:  # it starts afresh with these texts
+                    forget_words()
                 units, sizes = enc.numbered(texts)
                 ends = np.cumsum(sizes)
                 rows = []

@@ -150,6 +150,52 @@ def load_profile(df: DataFrame, key: str, load: str, load_no: str, forms: dict[s
     return per.join(change, ["col", "load_no"], "left")
 
 
+def column_profile(df: DataFrame, key: str, load_id: Column, load_no: Column, forms: dict[str, Form]) -> DataFrame:
+    """Per load and flat column, whether it has a form or not: (load_no, load_id, col, n_rows, n_missing, n_broken, n_distinct, lo, hi, lo_num, hi_num, change).
+
+    Distinct counts, ranges and changes are over all entries that are not missing, broken ones included. Text compares as
+    names do; ``lo`` and ``hi`` are for text, dates and times, ``lo_num`` and ``hi_num`` for numbers and for the numbers in
+    text columns with a range. ``n_broken`` is null for columns without a form, ``change`` for the first load.
+    """
+    scratch = Scratch(df.sparkSession)
+    fields = [f for f in df.schema if not isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType)]
+    known, unnamed = df.where(F.col(key).isNotNull()).distinct(), df.where(F.col(key).isNull())
+    once = known.unionByName(unnamed).withColumns({"_no": load_no, "_id": load_id})
+    entries = []
+    for f in fields:
+        c = F.col(f"`{f.name}`")
+        text = isinstance(f.dataType, T.StringType)
+        number = isinstance(f.dataType, T.NumericType)
+        form = forms.get(f.name)
+        entries.append(F.struct(
+            F.lit(f.name).alias("col"), (name_key(c) if text else F.lower(c.cast("string"))).alias("v"),
+            (form.label(c) == "o" if form else F.lit(None).cast("boolean")).alias("broken"),
+            F.lit("number" if number else "both" if form and form.lo is not None else "text").alias("range"),
+        ))
+    long = once.select("_no", "_id", F.explode(F.array(*entries)).alias("e")).select("_no", "_id", "e.*")
+    long = long.withColumn("v", F.when(~F.col("v").isin("na", "nan"), F.col("v")))
+    made = scratch.keep(long.groupBy("_no", "_id", "col", "v", "broken", "range").agg(F.count(F.lit(1)).alias("n")))
+    loads = made.where(F.col("col") == fields[0].name).groupBy("_no", "_id").agg(F.sum("n").alias("rows"))
+    loads = scratch.keep(loads.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_no", "_id"))))  # one row per load
+    made = made.join(loads, ["_no", "_id"])
+    num, kind, n = F.col("v").try_cast("double"), F.col("range"), F.col("n")
+    there = F.col("v").isNotNull()
+    per = made.groupBy("place", F.col("_no").alias("load_no"), F.col("_id").alias("load_id"), "col").agg(
+        F.sum("n").alias("n_rows"), F.coalesce(F.sum(F.when(~there, n)), F.lit(0)).alias("n_missing"),
+        F.sum(F.when(F.col("broken"), n).when(F.col("broken").isNotNull(), 0)).alias("n_broken"), F.count("v").alias("n_distinct"),
+        *[f(F.when(kind != "number", F.col("v"))).alias(a) for f, a in ((F.min, "lo"), (F.max, "hi"))],
+        *[f(F.when((kind != "text") & ~F.isnan(num), num)).alias(a) for f, a in ((F.min, "lo_num"), (F.max, "hi_num"))],
+    )
+    # Half the summed absolute differences of two sets of shares is 1 less the shares they have in common.
+    w = Window.partitionBy("col", "v").orderBy("place")  # at most one row per load
+    share = made.select("col", "v", "place", (n / F.col("rows")).alias("share"))
+    share = share.withColumns({"before": F.lag("share").over(w), "at": F.lag("place").over(w)})
+    same = share.where(F.col("at") == F.col("place") - 1).groupBy("col", "place").agg(F.sum(F.least("share", "before")).alias("same"))
+    change = F.when(F.col("place") > 1, F.round(1 - F.coalesce("same", F.lit(0.0)), 9)).alias("change")
+    cols = ["load_no", "load_id", "col", "n_rows", "n_missing", "n_broken", "n_distinct", "lo", "hi", "lo_num", "hi_num"]
+    return per.join(same, ["col", "place"], "left").select(*cols, change)
+
+
 def footer_profile(spark: SparkSession, df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(col, n_rows, n_nulls, n_distinct, lo_num, hi_num, chunks, chunks_read) over all rows as stored.
 

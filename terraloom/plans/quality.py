@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terraloom.common import name_key, table
 from terraloom.operators.packed import split_packed, vocabulary
-from terraloom.operators.profile import Form, footer_profile, load_profile, make_up, shifts, violations
+from terraloom.operators.profile import Form, column_profile, footer_profile, load_profile, make_up, shifts, violations
 from terraloom.operators.proximity import locate, near_pairs
 
 #: Admissible entries of the profiled columns.
@@ -31,7 +31,20 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p2_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of the large tables by load; tables without loads by the day of delivery."""
+    day = F.to_date("loaded_at")
+    by_day = F.coalesce(day.cast("string"), F.lit("")), F.coalesce(F.unix_date(day), F.lit(-1))
+    parts = [
+        column_profile(table(spark, sf_dir, "nw_features"), "row_id", F.col("load_id"), F.col("load_no"), NW_FORMS).withColumn("tab", F.lit("nw_features")),
+        column_profile(table(spark, sf_dir, "match_lines"), "line_id", *by_day, {}).withColumn("tab", F.lit("match_lines")),
+        column_profile(table(spark, sf_dir, "position_error"), "err_id", *by_day, {}).withColumn("tab", F.lit("position_error")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Admissible entries of the three columns with a form; ``p2_columns`` has all columns and all entries."""
     return load_profile(table(spark, sf_dir, "nw_features"), "row_id", "load_id", "load_no", NW_FORMS)
 
 
@@ -68,7 +81,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_profile, p2_footers, p3_found, p4_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_columns, p2_profile, p2_footers, p3_found, p4_found)}
 
 _KEY = r"nullif(lower(trim(regexp_replace({c}, '[\s\x{{85}}\x{{A0}}\x{{3000}}]+', ' ', 'g'))), '')"
 

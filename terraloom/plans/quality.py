@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraloom.common import name_key, table
 from terraloom.operators.packed import split_packed, vocabulary
 from terraloom.operators.profile import Form, column_profile, footer_profile, load_profile, make_up, shifts, violations
-from terraloom.operators.proximity import locate, near_pairs
+from terraloom.operators.proximity import locate, near_counts, near_pairs
 
 #: Admissible entries of the profiled columns.
 NW_FORMS = {
@@ -68,10 +68,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("tab", "row_key", "field", "pos", "val")
 
 
+def _reef_like(ahs: DataFrame) -> DataFrame:
+    return ahs.where(F.regexp_replace(name_key("native_cl"), " ?/ ?", "/").isin(*REEF_LIKE))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ahs = table(spark, sf_dir, "ahs_features")
-    nature = F.regexp_replace(name_key("native_cl"), " ?/ ?", "/")
-    near = near_pairs(ahs.where(nature.isin(*REEF_LIKE)), "ahs_id", "lon", "lat", NEAR_M)
+    near = near_pairs(_reef_like(table(spark, sf_dir, "ahs_features")), "ahs_id", "lon", "lat", NEAR_M)
     inside = locate(
         table(spark, sf_dir, "position_error"), "err_id", "actlon", "actlat",
         table(spark, sf_dir, "validation_regions"), "regionid", "wkt",
@@ -81,7 +83,13 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_columns, p2_profile, p2_footers, p3_found, p4_found)}
+def p4_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reef-like features by place, with the number of other places close to theirs."""
+    ahs = table(spark, sf_dir, "ahs_features")
+    return near_counts(_reef_like(ahs), "ahs_id", "lon", "lat", NEAR_M).withColumnRenamed("id", "ahs_id")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_columns, p2_profile, p2_footers, p3_found, p4_found, p4_places)}
 
 _KEY = r"nullif(lower(trim(regexp_replace({c}, '[\s\x{{85}}\x{{A0}}\x{{3000}}]+', ' ', 'g'))), '')"
 
@@ -131,7 +139,22 @@ def _footer_row(tab: str, col: str, number: bool) -> str:
     )
 
 
+_NEAR = f"""pts AS (
+  SELECT ahs_id, any_value(lon) AS x, any_value(lat) AS y FROM ahs_features
+  WHERE regexp_replace({_KEY.format(c="native_cl")}, ' ?/ ?', '/', 'g') IN ({", ".join(map(repr, REEF_LIKE))})
+    AND lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90 AND NOT (lon = 0 AND lat = 0) GROUP BY ahs_id),
+near AS (
+  SELECT a.ahs_id AS key_a, b.ahs_id AS key_b FROM pts a JOIN pts b
+    ON a.ahs_id < b.ahs_id AND b.y BETWEEN a.y - 0.003 AND a.y + 0.003
+  WHERE 2 * 6371008.8 * asin(sqrt(least(1, pow(sin(radians(b.y - a.y) / 2), 2)
+    + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2)))) <= {NEAR_M})"""
+
 SQL = {
+    "p4_places": f"""WITH {_NEAR}, spot AS (SELECT x, y, min(ahs_id) AS place FROM pts GROUP BY x, y),
+named AS (SELECT ahs_id, place FROM pts JOIN spot USING (x, y)),
+met AS (SELECT DISTINCT a.place AS p, b.place AS q FROM near JOIN named a ON a.ahs_id = key_a JOIN named b ON b.ahs_id = key_b WHERE a.place <> b.place),
+n AS (SELECT p, count(*) AS n FROM (SELECT p, q FROM met UNION SELECT q, p FROM met) GROUP BY p)
+SELECT ahs_id, place, coalesce(n, 0) AS n_near FROM named LEFT JOIN n ON p = place""",
     "p2_footers": "\nUNION ALL\n".join(
         _footer_row(t, c, number) for t, kinds in _FLAT.items() for number, cols in zip((True, False), kinds, strict=True) for c in cols.split()
     ),
@@ -147,15 +170,7 @@ SELECT m.col, m.load_no, m.load_id, CAST(sum(n) AS BIGINT) AS n_rows,
   min(TRY_CAST(substr(label, 3) AS DOUBLE)) AS lo, max(TRY_CAST(substr(label, 3) AS DOUBLE)) AS hi,
   any_value(CASE WHEN o.prev IS NOT NULL THEN round(change, 9) END) AS change
 FROM made m JOIN ordered o USING (col, load_no) LEFT JOIN moved v USING (col, load_no) GROUP BY m.col, m.load_no, m.load_id""",
-    "p4_found": f"""WITH pts AS (
-  SELECT ahs_id, any_value(lon) AS x, any_value(lat) AS y FROM ahs_features
-  WHERE regexp_replace({_KEY.format(c="native_cl")}, ' ?/ ?', '/', 'g') IN ({", ".join(map(repr, REEF_LIKE))})
-    AND lon BETWEEN -180 AND 180 AND lat BETWEEN -90 AND 90 AND NOT (lon = 0 AND lat = 0) GROUP BY ahs_id),
-near AS (
-  SELECT a.ahs_id AS key_a, b.ahs_id AS key_b FROM pts a JOIN pts b
-    ON a.ahs_id < b.ahs_id AND b.y BETWEEN a.y - 0.003 AND a.y + 0.003
-  WHERE 2 * 6371008.8 * asin(sqrt(least(1, pow(sin(radians(b.y - a.y) / 2), 2)
-    + cos(radians(a.y)) * cos(radians(b.y)) * pow(sin(radians(b.x - a.x) / 2), 2)))) <= {NEAR_M}),
+    "p4_found": f"""WITH {_NEAR},
 rings AS (SELECT DISTINCT regionid, unnest(regexp_extract_all(wkt, '\\(([^()]+)\\)', 1)) AS body FROM validation_regions),
 vertices AS (SELECT regionid, body, generate_subscripts(string_split(body, ','), 1) AS k, unnest(string_split(body, ',')) AS v FROM rings),
 ends AS (SELECT regionid, body, k, CAST(string_split(trim(v), ' ')[1] AS DOUBLE) AS x, CAST(string_split(trim(v), ' ')[2] AS DOUBLE) AS y FROM vertices),

@@ -38,7 +38,7 @@ def test_groups_against_union_find(spark):
     for x, g in want.items():
         least[g] = min(least.get(g, x), x)
     assert got == {x: least[g] for x, g in want.items()}
-    salted = groups(df, "left_id", "right_id", name_key("relation").isin("touches", "intersects"), hub_links=20)
+    salted = groups(df, "left_id", "right_id", name_key("relation").isin("touches", "intersects"), hub_links=20, links_per_task=30)
     assert {r.debugid: r.group_id for r in salted.collect()} == got
     on = name_key("relation") == "touches"
     assert groups(df.limit(0), "left_id", "right_id", on).count() == 0

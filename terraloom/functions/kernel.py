@@ -15,8 +15,22 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from terraloom.common import store
+from terraloom.functions.scalar import GRS80_A, LCC_3112, lcc_constants
 
 _PKG = "terraloom.geo"
+
+
+def _each(change: str) -> str:
+    """Java that changes every coordinate ``c`` of a copy, with the constants of the national grid at hand."""
+    e, n, f, rho0 = lcc_constants()
+    named = {"A": GRS80_A, "E": e, "N": n, "F": f, "R0": rho0, "LON0": LCC_3112["lon0"]}
+    consts = " ".join(f"final double {k} = {v!r};" for k, v in named.items())
+    return (
+        "Geometry n = a.copy(); n.apply(new org.locationtech.jts.geom.CoordinateFilter() { public void filter(org.locationtech.jts.geom.Coordinate c) {"
+        f" {consts} {change} }} }}); n.geometryChanged(); return out(n);"
+    )
+
+
 #: name -> (argument kinds, result type, Java statement). g: geometry, d: double, a: array of geometries.
 _OPS: dict[str, tuple[str, str, str]] = {
     "area": ("g", "double", "return Double.valueOf(a.getArea());"),
@@ -34,11 +48,16 @@ _OPS: dict[str, tuple[str, str, str]] = {
     "centroid": ("g", "binary", "return out(a.getCentroid());"),
     "inside_point": ("g", "binary", "Geometry c = a.getCentroid(); return out(a.contains(c) ? c : a.getInteriorPoint());"),
     "boundary": ("g", "binary", "return out(a.getBoundary());"),
-    "exterior": ("g", "binary", "return out(((org.locationtech.jts.geom.Polygon) a.getGeometryN(0)).getExteriorRing());"),
+    "exterior": (
+        "g", "binary",
+        "java.util.List p = org.locationtech.jts.geom.util.PolygonExtracter.getPolygons(a); java.util.List r = new java.util.ArrayList();"
+        " for (int i = 0; i < p.size(); i++) r.add(((org.locationtech.jts.geom.Polygon) p.get(i)).getExteriorRing()); return out(a.getFactory().buildGeometry(r));",
+    ),
     "holes": (
         "g", "array<binary>",
-        "org.locationtech.jts.geom.Polygon p = (org.locationtech.jts.geom.Polygon) a.getGeometryN(0);"
-        " java.util.List r = new java.util.ArrayList(); for (int i = 0; i < p.getNumInteriorRing(); i++) r.add(out(p.getInteriorRingN(i)));"
+        "java.util.List p = org.locationtech.jts.geom.util.PolygonExtracter.getPolygons(a); java.util.List r = new java.util.ArrayList();"
+        " for (int k = 0; k < p.size(); k++) { org.locationtech.jts.geom.Polygon q = (org.locationtech.jts.geom.Polygon) p.get(k);"
+        " for (int i = 0; i < q.getNumInteriorRing(); i++) r.add(out(q.getInteriorRingN(i))); }"
         " return scala.jdk.javaapi.CollectionConverters.asScala(r).toSeq();",
     ),
     "parts": (
@@ -65,7 +84,9 @@ _OPS: dict[str, tuple[str, str, str]] = {
     ),
     "is_ccw": (
         "g", "boolean",
-        "return Boolean.valueOf(org.locationtech.jts.algorithm.Orientation.isCCW(((org.locationtech.jts.geom.Polygon) a.getGeometryN(0)).getExteriorRing().getCoordinateSequence()));",
+        "java.util.List p = org.locationtech.jts.geom.util.PolygonExtracter.getPolygons(a);"
+        " for (int i = 0; i < p.size(); i++) if (!org.locationtech.jts.algorithm.Orientation.isCCW(((org.locationtech.jts.geom.Polygon) p.get(i)).getExteriorRing().getCoordinateSequence())) return Boolean.FALSE;"
+        " return Boolean.TRUE;",
     ),
     "x0": ("g", "double", "return a.isEmpty() ? null : Double.valueOf(a.getEnvelopeInternal().getMinX());"),
     "y0": ("g", "double", "return a.isEmpty() ? null : Double.valueOf(a.getEnvelopeInternal().getMinY());"),
@@ -78,8 +99,15 @@ _OPS: dict[str, tuple[str, str, str]] = {
         " for (int i = 0; i < c.length; i++) s.add(new org.locationtech.jts.geom.Coordinate(c[i].x, c[i].y)); return Integer.valueOf(s.size());",
     ),
     "text": ("g", "string", "return new org.locationtech.jts.io.WKTWriter().write(a);"),
+    "to_3112": ("g", "binary", _each("double s = Math.sin(Math.toRadians(c.y)) * E; double t = Math.tan(Math.PI / 4 - Math.toRadians(c.y) / 2) / Math.pow((1 - s) / (1 + s), E / 2);"
+        " double r = A * F * Math.pow(t, N); double h = N * Math.toRadians(c.x - LON0); c.x = r * Math.sin(h); c.y = R0 - r * Math.cos(h);")),
+    "from_mercator": ("g", "binary", _each("c.x = Math.toDegrees(c.x / A); c.y = Math.toDegrees(2 * Math.atan(Math.exp(c.y / A)) - Math.PI / 2);")),
+    "scaled": ("gd", "binary", "return out(org.locationtech.jts.geom.util.AffineTransformation.scaleInstance(b, b).transform(a));"),
+    "moved": ("gdd", "binary", "return out(org.locationtech.jts.geom.util.AffineTransformation.translationInstance(b, c).transform(a));"),
     "from_text": ("s", "binary", "return out(new org.locationtech.jts.io.WKTReader().read(a));"),
     "buffer": ("gd", "binary", "return out(a.buffer(b, 16));"),
+    "buffer0": ("g", "binary", "return out(a.buffer(0));"),
+    "normalize": ("g", "binary", "return out(a.norm());"),
     "close": ("gd", "binary", "return out(a.buffer(b, 16).buffer(-b, 16));"),
     "simplify": ("gd", "binary", "return out(org.locationtech.jts.simplify.TopologyPreservingSimplifier.simplify(a, b));"),
     "point_along": ("gd", "binary", "return out(a.getFactory().createPoint(new org.locationtech.jts.linearref.LengthIndexedLine(a).extractPoint(b)));"),
@@ -89,6 +117,18 @@ _OPS: dict[str, tuple[str, str, str]] = {
         "if (a.isEmpty() || b.isEmpty()) return null;"
         " return out(a.getFactory().createPoint(org.locationtech.jts.operation.distance.DistanceOp.nearestPoints(a, b)[1]));",
     ),
+    "is_near": ("ggd", "boolean", "return Boolean.valueOf(a.isWithinDistance(b, c));"),
+    "overlap": (
+        "gg", "struct<area: double, x: double, y: double>",
+        "if (!a.intersects(b) || a.touches(b)) return null; Geometry o = over(a, b, org.locationtech.jts.operation.overlayng.OverlayNG.INTERSECTION);"
+        " if (o.isEmpty()) return null; org.locationtech.jts.geom.Point c = o.getCentroid();"
+        " return org.apache.spark.sql.RowFactory.create(new Object[]{Double.valueOf(o.getArea()), Double.valueOf(c.getX()), Double.valueOf(c.getY())});",
+    ),
+    "cut_to_box": (
+        "gg", "binary",
+        "return b.getEnvelopeInternal().contains(a.getEnvelopeInternal()) ? out(a) :"
+        " out(over(a, a.getFactory().toGeometry(b.getEnvelopeInternal()), org.locationtech.jts.operation.overlayng.OverlayNG.INTERSECTION));",
+    ),
     "intersects": ("gg", "boolean", "return Boolean.valueOf(a.intersects(b));"),
     "touches": ("gg", "boolean", "return Boolean.valueOf(a.touches(b));"),
     "contains": ("gg", "boolean", "return Boolean.valueOf(a.contains(b));"),

@@ -71,6 +71,17 @@ def area_class(area_km2: Column) -> Column:
     return F.when(area_km2 < 0.1, "small").when(area_km2 <= 1.0, "medium").when(area_km2 > 1.0, "large")
 
 
+def large_small(area_km2: Column, large: float = 0.01) -> Column:
+    """Large above ``large``, else Small, null and NaN too."""
+    return F.when((area_km2 > large) & ~F.isnan(area_km2), "Large").otherwise("Small")
+
+
+def edge_checks(edge_m: Column, width_m: Column) -> dict[str, Column]:
+    """The checks of accuracy against width: narrower than 10 m, accuracy above the width, above half of it, below 1 % of it."""
+    share = edge_m / F.when(width_m > 0, width_m)
+    return {"narrow": width_m < 10, "over_width": share > 1, "over_half": share > 0.5, "under_1_percent": share < 0.01}
+
+
 def safe_ratio(n: Column, d: Column, scale: float = 100.0) -> Column:
     """``scale * n / d``, 0 where the denominator is 0."""
     return F.when(d > 0, n / d * scale).otherwise(F.lit(0.0))
@@ -166,7 +177,7 @@ def lonlat_to_mercator(lon: Column, lat: Column) -> tuple[Column, Column]:
     return F.radians(lon) * WGS84_A, F.log(F.tan(F.radians(lat) / 2 + math.pi / 4)) * WGS84_A
 
 
-def _lcc_constants() -> tuple[float, float, float, float]:
+def lcc_constants() -> tuple[float, float, float, float]:
     e = math.sqrt(GRS80_F * (2 - GRS80_F))
 
     def m(lat: float) -> float:
@@ -184,7 +195,7 @@ def _lcc_constants() -> tuple[float, float, float, float]:
 
 def lonlat_to_3112(lon: Column, lat: Column) -> tuple[Column, Column]:
     """GDA94 degrees to the national Lambert grid (EPSG:3112)."""
-    e, n, f, rho0 = _lcc_constants()
+    e, n, f, rho0 = lcc_constants()
     phi = F.radians(lat)
     s = e * F.sin(phi)
     t = F.tan(math.pi / 4 - phi / 2) / F.pow((1 - s) / (1 + s), F.lit(e / 2))
@@ -193,7 +204,7 @@ def lonlat_to_3112(lon: Column, lat: Column) -> tuple[Column, Column]:
 
 
 def lonlat_from_3112(x: Column, y: Column, rounds: int = 6) -> tuple[Column, Column]:
-    e, n, f, rho0 = _lcc_constants()
+    e, n, f, rho0 = lcc_constants()
     sign = math.copysign(1.0, n)
     rho = sign * F.hypot(x, rho0 - y)
     theta = F.atan2(sign * x, sign * (rho0 - y))

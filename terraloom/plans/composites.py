@@ -12,16 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terraloom.common import name_key
+from terraloom.common import Scratch, name_key
 from terraloom.functions.kernel import geo, with_bounds
 from terraloom.functions.scalar import (
-    box_ring, clamp_low, differs, effective_width, geodesic, half_even, hashed_normal, hashed_uniform, int_or_null, lonlat_to_3112,
+    box_ring, clamp_low, differs, effective_width, geodesic, half_even, hashed_normal, hashed_uniform, int_or_null, large_small, lonlat_to_3112,
     mercator_to_lonlat, number_or_null, pair_key, ring_wkt, safe_ratio, size_class, split_list,
 )
 from terraloom.operators import attributes as at
 from terraloom.operators.graph import connected_components, greedy_match
 from terraloom.operators.spatial import (
-    box_area, box_distance, box_pairs, common_area, exact, first_come, nearest, nearest_on_ring, spatial_join,
+    box_distance, box_pairs, dissolve, exact, first_come, nearest, spatial_join,
 )
 
 #: Fixed values of the domain.
@@ -73,17 +73,31 @@ def expand_attributes(features: DataFrame, crosswalk: DataFrame, key: tuple[str,
     return joined.where(F.col("matched_row").isNotNull()), joined.where(F.col("matched_row").isNull()).select(*prepared.columns)
 
 
+def expand_strict(features: DataFrame, crosswalk: DataFrame, key: tuple[str, str], lists: dict[str, str], fields: list[str]) -> DataFrame:
+    """Features (outlines in degrees) with the fields of their crosswalk row and ``area_km2`` in the national grid.
+
+    Raises if any feature matches no row, with the mismatches by class and attributes: one output excludes the other.
+    """
+    matched, mismatched = expand_attributes(features, crosswalk, key, lists, fields)
+    at.require(mismatched.groupBy(key[0], *lists).agg(F.count(F.lit(1)).alias("n")), "features without a crosswalk row")
+    return matched.withColumn("area_km2", half_even(geo("area", geo("to_3112", "geom")) / 1e6, 4))
+
+
 # Components, dissolve, clusters
 
 
-def same_class_components(layer: DataFrame, cell: float, within: float = 0.0, on: Column | None = None) -> DataFrame:
-    """(fid, component): features of one class linked by contact, or by a distance of at most ``within``."""
-    touch = box_pairs(layer.select("fid", "cls", "x0", "y0", "x1", "y1"), layer.select("fid", "cls", "x0", "y0", "x1", "y1"), cell, within)
+def same_class_components(layer: DataFrame, cell: float, within: float = 0.0) -> DataFrame:
+    """(fid, component): features of one class linked by contact, or by a distance of at most ``within``.
+
+    With a geometry column the outlines decide; boxes are the candidates only.
+    """
+    cols = ["fid", "cls", "x0", "y0", "x1", "y1", *(["geom"] if "geom" in layer.columns else [])]
+    touch = box_pairs(layer.select(*cols), layer.select(*cols), cell, within)
     touch = touch.where((F.col("l_cls") == F.col("r_cls")) & (F.col("l_fid") < F.col("r_fid")))
-    if within > 0:
+    if "geom" in cols:
+        touch = touch.where(geo("is_near", "l_geom", "r_geom", float(within)))
+    elif within > 0:
         touch = touch.where(box_distance() <= within)
-    if on is not None:
-        touch = touch.where(on)
     return connected_components(touch.select("l_fid", "r_fid"), "l_fid", "r_fid", layer, "fid")
 
 
@@ -104,18 +118,32 @@ def dissolve_attributes(layer: DataFrame, comps: DataFrame) -> DataFrame:
     )
 
 
+def dissolve_layer(layer: DataFrame, cell: float, eps: float = 1e-6) -> DataFrame:
+    """One row per group of features of a class whose outlines meet or are at most ``2 * eps`` apart.
+
+    The outline is the members' union closed by ``eps``; ``multi_attachment`` marks groups of more than one attachment.
+    """
+    comps = same_class_components(layer, cell, 2 * eps)
+    made = dissolve_attributes(layer, comps)
+    union = dissolve(layer.select("fid", "cls", geo("buffer0", "geom").alias("geom")).join(comps, "fid"), ["cls", "component"], cell * 8)
+    union = union.select("cls", "component", geo("close", "geom", eps).alias("geom"))
+    return made.withColumn("multi_attachment", F.col("attset").contains(";")).join(union, ["cls", "component"])
+
+
 def clusters(layer: DataFrame, cell: float, distance: float = CLUSTER_DISTANCE_M, unit_m: float = 1.0) -> DataFrame:
-    """Countable clusters per class: members at most ``distance`` apart, summed area, effective width, size class.
+    """Countable clusters per class: members at most ``distance`` apart, summed area, effective width, size class, united outline.
 
     ``distance`` and ``cell`` are in layer units of ``unit_m`` metres.
     """
     comps = same_class_components(layer, cell, distance)
-    area = layer.withColumn("_area", box_area() * unit_m**2).join(comps, "fid").groupBy("cls", "component").agg(F.sum("_area").alias("_a"), F.count(F.lit(1)).alias("n_parts"))
+    members = layer.withColumn("_area", geo("area", "geom") * unit_m**2).join(comps, "fid")
+    area = members.groupBy("cls", "component").agg(F.sum("_area").alias("_a"), F.count(F.lit(1)).alias("n_parts"))
     width = effective_width(F.col("_a"))
-    return area.select(
-        "cls", F.col("component").alias("cluster_id"), "n_parts", half_even(F.col("_a") / 1e6, 5).alias("c_area_km2"),
+    facts = area.select(
+        "cls", "component", "n_parts", half_even(F.col("_a") / 1e6, 5).alias("c_area_km2"),
         half_even(width, 1).alias("eff_wid_m"), size_class(width).alias("size_class"),
     )
+    return facts.join(dissolve(members, ["cls", "component"], cell * 8), ["cls", "component"]).withColumnRenamed("component", "cluster_id")
 
 
 def largest_shift(parts: DataFrame, key: str, buffer_m: str) -> Column:
@@ -164,16 +192,41 @@ def cumulative_coverage(flags: DataFrame, sources: list[str]) -> DataFrame:
     return out.select("place", "source", "n_new", F.sum("n_new").over(w).alias("n_upto"))
 
 
+def missed_references(refs: DataFrame, features: DataFrame, boundary: DataFrame, cell: float) -> DataFrame:
+    """What of each reference that no feature meets lies in the boundary; references outside it go. Tags come as squares already."""
+    every = refs.withColumn("_k", F.concat_ws("/", "source", "fid"))
+    cols = ["fid", "geom", "x0", "y0", "x1", "y1"]
+    missed = spatial_join(every, features.select(*cols), cell, on=exact("intersects"), how="anti", key="_k")
+    return clip(missed.drop("fid").withColumnRenamed("_k", "fid"), boundary, cell * 8)
+
+
+def uncharted(features: DataFrame, region: DataFrame, area: DataFrame, cell: float, large: float) -> tuple[DataFrame, DataFrame]:
+    """(per class of the region: n, n_uncharted, percent, area; per size over all features: n, area).
+
+    Features are cut to the region; what is left of them counts as uncharted if it meets the area. ``area`` sums the
+    features' own attribute, not what is left of them, and sizes are those of all features, in the region or not: Large above ``large``,
+    else, null included, Small.
+    """
+    cols = ["fid", "geom", "x0", "y0", "x1", "y1"]
+    inside = clip(features, region, cell * 8)
+    hit = spatial_join(inside.select(*cols), area.select(*cols), cell, on=exact("intersects"), how="semi").select("fid", F.lit(True).alias("_u"))
+    both = inside.join(hit, "fid", "left").withColumn("_u", F.coalesce("_u", F.lit(False)))
+    n, u = F.count(F.lit(1)), F.count_if("_u")
+    per = both.groupBy("cls").agg(n.alias("n"), u.alias("n_uncharted"), half_even(safe_ratio(u.cast("double"), n), 4).alias("pct"), F.sum("area").alias("area"))
+    return per, features.groupBy(large_small(F.col("area"), large).alias("size")).agg(n.alias("n"), F.sum("area").alias("area"))
+
+
 # Overlays
 
 
 def overlap_report(layer: DataFrame, cell: float, least: float = OVERLAP_REPORTS) -> DataFrame:
-    """Unordered pairs with an overlap of more than ``least``, contact alone not counted; with its centre and area."""
-    pairs = box_pairs(layer, layer, cell).where(F.col("l_fid") < F.col("r_fid")).withColumn("area", common_area())
-    mid = lambda a, b: (F.greatest(F.col(f"l_{a}"), F.col(f"r_{a}")) + F.least(F.col(f"l_{b}"), F.col(f"r_{b}"))) / 2
-    return pairs.where(F.col("area") > least).select(
-        F.col("l_fid").alias("feature_1"), F.col("r_fid").alias("feature_2"), "area", mid("x0", "x1").alias("x"), mid("y0", "y1").alias("y"),
-        pair_key(F.col("l_cls"), F.col("r_cls")).alias("types"),
+    """Unordered pairs with an overlap of more than ``least``, contact alone not counted; with its centroid and area."""
+    cols = ["fid", "cls", "geom", "x0", "y0", "x1", "y1"]
+    pairs = box_pairs(layer.select(*cols), layer.select(*cols), cell).where(F.col("l_fid") < F.col("r_fid"))
+    pairs = pairs.withColumn("_o", geo("overlap", "l_geom", "r_geom")).where(F.col("_o.area") > least)
+    return pairs.select(
+        F.col("l_fid").alias("feature_1"), F.col("r_fid").alias("feature_2"), F.col("_o.area").alias("area"), F.col("_o.x").alias("x"),
+        F.col("_o.y").alias("y"), pair_key(F.col("l_cls"), F.col("r_cls")).alias("types"),
     )
 
 
@@ -194,7 +247,8 @@ def difference(features: DataFrame, minus: DataFrame, cell: float, polygons: boo
     """Each feature minus the union of the ``minus`` features it meets; emptied features go, others stay as they are."""
     hits = box_pairs(features.select("fid", "geom", "x0", "y0", "x1", "y1"), minus.select("fid", "geom", "x0", "y0", "x1", "y1"), cell)
     hits = hits.where(exact("intersects"))
-    cut = hits.groupBy(F.col("l_fid").alias("fid")).agg(geo("union_all", F.collect_list("r_geom")).alias("_cut"))
+    # Only what lies in the feature's own box is gathered, however large the other side's geometries are.
+    cut = hits.select(F.col("l_fid").alias("fid"), geo("cut_to_box", "r_geom", "l_geom").alias("g")).groupBy("fid").agg(geo("union_all", F.collect_list("g")).alias("_cut"))
     out = features.join(cut, "fid", "left")
     left = geo("difference", "geom", "_cut")
     left = geo("polygons_only", left) if polygons else left
@@ -205,7 +259,8 @@ def difference(features: DataFrame, minus: DataFrame, cell: float, polygons: boo
 def clip(features: DataFrame, mask: DataFrame, cell: float) -> DataFrame:
     """What of each feature lies in the union of the mask features it meets; attributes stay, emptied features go."""
     hits = box_pairs(features.select("fid", "geom", "x0", "y0", "x1", "y1"), mask.select("fid", "geom", "x0", "y0", "x1", "y1"), cell)
-    keep = hits.where(exact("intersects")).groupBy(F.col("l_fid").alias("fid")).agg(geo("union_all", F.collect_list("r_geom")).alias("_keep"))
+    near = hits.where(exact("intersects")).select(F.col("l_fid").alias("fid"), geo("cut_to_box", "r_geom", "l_geom").alias("g"))
+    keep = near.groupBy("fid").agg(geo("union_all", F.collect_list("g")).alias("_keep"))
     out = features.join(keep, "fid").withColumn("geom", geo("intersection", "geom", "_keep")).drop("_keep")
     return with_bounds(out.where(~geo("is_empty", "geom")))
 
@@ -249,18 +304,31 @@ def clip_land(features: DataFrame, land: DataFrame, cell: float, strict: bool =
     return difference(features, land, cell, polygons=False)
 
 
+def clip_land_split(features: DataFrame, land: DataFrame, cell: float) -> tuple[DataFrame, DataFrame]:
+    """(polygonal features without land, rejected features): others than polygons and null geometries don't stop the clip, bad polygons do."""
+    polygons, rejected = split_by_type(features)
+    return clip_land(polygons, land, cell), rejected
+
+
 def correct_mask(mask: DataFrame, corrections: DataFrame, cell: float) -> DataFrame:
-    """(mask with additions) minus removals, as valid single parts that are not joined across grid cells more than needed."""
+    """(mask with additions) minus removals, as valid single parts that are not joined across grid cells more than needed.
+
+    All parts take the attributes of the mask's first feature (smallest fid).
+    """
+    box = ("fid", "geom", "x0", "y0", "x1", "y1")
+    template = mask.orderBy("fid").limit(1).select([c for c in mask.columns if c not in box])
     polygonal = lambda df: df.where(geo("is_valid", "geom") & geo("type", "geom").isin("Polygon", "MultiPolygon"))
     add = corrections.where(F.col("operation") == "Add").select("geom", "x0", "y0", "x1", "y1")
     base = polygonal(mask.select("geom", "x0", "y0", "x1", "y1").unionByName(add))
-    base = base.withColumn("fid", F.xxhash64("geom")).dropDuplicates(["fid"])
+    keep = Scratch(mask.sparkSession).keep  # each is read several times
+    base = keep(base.withColumn("fid", F.xxhash64("geom")).dropDuplicates(["fid"]))
     touch = box_pairs(base.select("fid", "geom", "x0", "y0", "x1", "y1"), base.select("fid", "geom", "x0", "y0", "x1", "y1"), cell)
     touch = touch.where((F.col("l_fid") < F.col("r_fid")) & exact("intersects"))
     comps = connected_components(touch, "l_fid", "r_fid", base, "fid")
     joined = base.join(comps, "fid").groupBy(F.col("component").alias("fid")).agg(geo("union_all", F.collect_list("geom")).alias("geom"))
     remove = polygonal(corrections.where(F.col("operation") == "Remove").select("geom", "x0", "y0", "x1", "y1")).withColumn("fid", F.xxhash64("geom"))
-    return single_parts(difference(with_bounds(joined), remove, cell)).where(geo("is_valid", "geom"))
+    parts = single_parts(difference(keep(with_bounds(joined)), remove, cell)).where(geo("is_valid", "geom"))
+    return parts.join(template, how="left") if template.columns else parts
 
 
 def residual_features(mask: DataFrame, features: DataFrame, constants: dict[str, str], cell: float) -> DataFrame:
@@ -294,12 +362,13 @@ def connected_merge(masters: DataFrame, others: DataFrame, cell: float, on: Colu
 
 
 def mask_confusion(rough: DataFrame, auto: DataFrame, land: DataFrame, cell: float) -> DataFrame:
-    """(metric, value): detections of one mask against the other, away from land and from coastal features."""
-    coastal = spatial_join(rough, land, cell, how="semi")
-    platform = spatial_join(rough, land, cell, how="anti")
-    zone = land.select("x0", "y0", "x1", "y1").unionByName(coastal.select("x0", "y0", "x1", "y1")).withColumn("fid", F.lit(0))
-    own = spatial_join(auto, zone, cell, how="anti")
-    hit = box_pairs(own.select("fid", "x0", "y0", "x1", "y1"), platform.select("fid", "x0", "y0", "x1", "y1"), cell)
+    """(metric, value): detections of one mask against the other, away from land and from coastal features. Outlines decide."""
+    meet, cols = exact("intersects"), ["geom", "x0", "y0", "x1", "y1"]
+    coastal = spatial_join(rough, land, cell, on=meet, how="semi")
+    platform = spatial_join(rough, land, cell, on=meet, how="anti")
+    zone = land.select(*cols).unionByName(coastal.select(*cols)).withColumn("fid", F.lit(0))
+    own = spatial_join(auto, zone, cell, on=meet, how="anti")
+    hit = box_pairs(own.select("fid", *cols), platform.select("fid", *cols), cell).where(meet)
     pairs = hit.select(F.col("l_fid").alias("a"), F.col("r_fid").alias("r"))
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
     one = (
@@ -323,12 +392,17 @@ def mask_confusion(rough: DataFrame, auto: DataFrame, land: DataFrame, cell: flo
 
 
 def version_diff(old: DataFrame, new: DataFrame, cell: float, iou_least: float = IOU_THRESHOLD, compared: tuple[str, ...] = COMPARED) -> DataFrame:
-    """(change, new_fid, old_fid, attr_chg): exact matches, then greedy matches by overlap, then the pools that remain."""
-    slim = lambda df: df.select("fid", "x0", "y0", "x1", "y1")
-    near = box_pairs(slim(new), slim(old), cell).withColumn("common", common_area())
-    near = near.withColumn("iou", F.col("common") / (box_area("l_") + box_area("r_") - F.col("common")))
-    same = reduce(lambda a, b: a & b, [F.abs(F.col(f"l_{c}") - F.col(f"r_{c}")) <= 1e-9 for c in ("x0", "y0", "x1", "y1")])
-    eq = first_come(near.where(same).select(F.col("l_fid").alias("new_fid"), F.col("r_fid").alias("old_fid")), "new_fid", "old_fid", [F.col("new_fid"), F.col("old_fid")])
+    """(change, new_fid, old_fid, attr_chg): exact matches, then greedy matches by overlap, then the pools that remain.
+
+    Outlines are equal if their vertices are, in order and within 1e-9; the overlap is that of the outlines.
+    """
+    slim = lambda df: df.select("fid", "geom", "x0", "y0", "x1", "y1")
+    near = box_pairs(slim(new), slim(old), cell).where(exact("intersects"))
+    common = F.coalesce(geo("overlap", "l_geom", "r_geom")["area"], F.lit(0.0))
+    near = near.select("l_fid", "r_fid", geo("equals_exact", "l_geom", "r_geom", 1e-9).alias("same"), common.alias("common"), (geo("area", "l_geom") + geo("area", "r_geom")).alias("_sum"))
+    near = near.withColumn("iou", F.when(F.col("_sum") > F.col("common"), F.round(F.col("common") / (F.col("_sum") - F.col("common")), 12)).otherwise(0.0))
+    near = Scratch(new.sparkSession).keep(near.select("l_fid", "r_fid", "same", "iou"))  # read four times, and the outlines are compared once
+    eq = first_come(near.where("same").select(F.col("l_fid").alias("new_fid"), F.col("r_fid").alias("old_fid")), "new_fid", "old_fid", [F.col("new_fid"), F.col("old_fid")])
     scored = near.where(F.col("iou") >= iou_least).select(F.col("l_fid").alias("new_fid"), F.col("r_fid").alias("old_fid"), "iou")
     scored = scored.join(eq.select("new_fid"), "new_fid", "left_anti").join(eq.select("old_fid"), "old_fid", "left_anti")
     better = greedy_match(scored, "new_fid", "old_fid", "iou").select("new_fid", "old_fid")
@@ -413,51 +487,95 @@ def edge_metrics(lines: DataFrame, fid: str, dist: str, edge: str, steps: int =
     return made.select(fid, "n_samples", "edge", rank.alias("edge_perc"), rounded.alias("percentiles"), ratios.alias("ratios"))
 
 
-def boundary_error(points: DataFrame, polygons: DataFrame, radius: float, regions: DataFrame | None = None) -> DataFrame:
+def boundary_error(points: DataFrame, polygons: DataFrame, radius: float, regions: DataFrame | None = None, position=lambda x, y: (x, y)) -> DataFrame:
     """Nearest polygon within ``radius`` of each point (0 when inside), then the nearest point of that polygon's outline.
 
-    ``points``: fid, x, y (degrees). ``polygons``: fid, ring (array of struct<x, y>), box, edgeacc_m. Unmatched points stay.
+    ``points``: fid, x, y. ``polygons``: fid, geom, box, edgeacc_m. ``position`` gives degrees for layer coordinates.
+    Unmatched points stay; of polygons equally near, to twelve decimals, the smallest fid is taken. A point on the border of two regions is in both.
     """
-    pts = points.withColumns({"x0": F.col("x"), "x1": F.col("x"), "y0": F.col("y"), "y1": F.col("y")})
-    near = nearest(pts, polygons.select("fid", "x0", "y0", "x1", "y1"), radius, box_distance(), "fid", "fid")
-    shape = polygons.select(F.col("fid").alias("match_fid"), "ring", number_or_null("edgeacc_m").alias("edgeacc_m"))
-    spot = F.when(F.col("ring").isNotNull(), nearest_on_ring(F.col("x"), F.col("y"), F.col("ring")))
-    out = points.join(near, "fid").join(shape, "match_fid", "left").withColumn("_s", spot)
-    out = out.select("fid", F.col("y").alias("act_lat"), F.col("x").alias("act_lon"), F.col("_s.y").alias("match_lat"), F.col("_s.x").alias("match_lon"), "edgeacc_m", F.col("matched").alias("match_found"), "match_fid")
+    spot = geo("from_text", F.concat(F.lit("POINT ("), F.col("x").cast("string"), F.lit(" "), F.col("y").cast("string"), F.lit(")")))
+    pts = points.select("fid", "x", "y", spot.alias("geom")).withColumns({"x0": F.col("x"), "x1": F.col("x"), "y0": F.col("y"), "y1": F.col("y")})
+    near = nearest(pts, polygons.select("fid", "geom", "x0", "y0", "x1", "y1"), radius, F.round(geo("distance", "l_geom", "r_geom"), 12), "fid", "fid")
+    shape = polygons.select(F.col("fid").alias("match_fid"), geo("boundary", "geom").alias("_line"), number_or_null("edgeacc_m").alias("edgeacc_m"))
+    out = pts.join(near, "fid").join(shape, "match_fid", "left").withColumn("_s", geo("nearest_on", "geom", "_line"))
+    (lon, lat), (mlon, mlat) = position(F.col("x"), F.col("y")), position(geo("x0", "_s"), geo("y0", "_s"))
+    out = out.select("fid", "geom", "x", "y", lat.alias("act_lat"), lon.alias("act_lon"), mlat.alias("match_lat"), mlon.alias("match_lon"), "edgeacc_m", F.col("matched").alias("match_found"), "match_fid")
     out = out.withColumn("error_m", geodesic("act_lat", "act_lon", "match_lat", "match_lon"))
     if regions is None:
-        return out
-    boxed = out.withColumns({"x0": F.col("act_lon"), "x1": F.col("act_lon"), "y0": F.col("act_lat"), "y1": F.col("act_lat")})
-    named = spatial_join(boxed, regions, radius * 100, how="left")
-    return named.select(*[F.col(f"l_{c}").alias(c) for c in out.columns], F.col("r_regionname").alias("regionname"))
+        return out.drop("x", "y", "geom")
+    boxed = out.withColumns({"x0": F.col("x"), "x1": F.col("x"), "y0": F.col("y"), "y1": F.col("y")})
+    named = spatial_join(boxed, regions, radius * 100, on=exact("intersects"), how="left")
+    return named.select(*[F.col(f"l_{c}").alias(c) for c in out.columns if c not in ("x", "y", "geom")], F.col("r_regionname").alias("regionname"))
 
 
 def ring_samples(layer: DataFrame, most: int = 100) -> DataFrame:
-    """(fid, sid, geom): points at i/k of the outline, k the number of its vertices up to ``most``; simple outlines (up to 4) give none."""
-    ring = layer.withColumn("_ring", geo("exterior", "geom"))
-    ring = ring.withColumn("_n", geo("unique_vertices", "_ring")).where((F.col("_n") > 4) & (geo("length", "_ring") > 0))
+    """(fid, part, sid, geom): points at i/k of each part's outline, k the number of its vertices up to ``most``; simple outlines (up to 4) give none.
+
+    An outline starts at its least vertex and runs clockwise, whatever made it.
+    """
+    parts = layer.select("fid", F.posexplode(geo("parts", geo("normalize", "geom"))).alias("part", "_g"))
+    ring = parts.withColumn("_ring", geo("exterior", "_g")).withColumn("_n", geo("unique_vertices", "_ring"))
+    ring = ring.where((F.col("_n") > 4) & (geo("length", "_ring") > 0))
     ring = ring.withColumn("_k", F.least("_n", F.lit(most))).withColumn("sid", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     spot = geo("point_along", "_ring", geo("length", "_ring") * F.col("sid") / F.col("_k"))
-    return ring.select("fid", "sid", spot.alias("geom"))
+    return ring.select("fid", "part", "sid", spot.alias("geom"))
 
 
 def nearest_lines(samples: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
-    """Nearest linework within ``radius`` of each sample: (fid, sid, dist_m, geom on the line, matched)."""
-    pts = with_bounds(samples.withColumn("_id", F.struct("fid", "sid"))).select("_id", "geom", "x0", "y0", "x1", "y1")
+    """Nearest linework within ``radius`` of each sample: (fid, part, sid, dist_m, geom on the line, matched)."""
+    pts = with_bounds(samples.withColumn("_id", F.struct("fid", "part", "sid"))).select("_id", "geom", "x0", "y0", "x1", "y1")
     pairs = box_pairs(pts, lines.select("fid", "geom", "x0", "y0", "x1", "y1"), radius, within=radius).withColumn("d", geo("distance", "l_geom", "r_geom"))
-    best = pairs.where(F.col("d") <= radius).groupBy(F.col("l__id").alias("_id")).agg(F.min(F.struct("d", "r_fid")).alias("b"), F.min_by("r_geom", F.struct("d", "r_fid")).alias("line"))
-    out = pts.select("_id", "geom").join(best, "_id", "left")
-    return out.select("_id.fid", "_id.sid", half_even(F.col("b.d"), 1).alias("dist_m"), geo("nearest_on", "geom", "line").alias("geom"), F.col("b").isNotNull().alias("matched"))
+    near = pairs.where(F.col("d") <= radius).withColumn("spot", geo("nearest_on", "l_geom", "r_geom"))
+    best = near.groupBy(F.col("l__id").alias("_id")).agg(F.min("d").alias("d"), F.min_by("spot", F.struct("d", "r_fid")).alias("spot"))
+    out = pts.select("_id").join(best, "_id", "left")
+    return out.select("_id.fid", "_id.part", "_id.sid", half_even(F.col("d"), 1).alias("dist_m"), F.col("spot").alias("geom"), F.col("d").isNotNull().alias("matched"))
+
+
+def edge_sampling(
+    a: DataFrame, b: DataFrame, land: DataFrame, region: DataFrame, cell: float, radius: float = 2000.0, land_gap: float = 10.0, is_reef: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(matched, unmatched) samples of the outlines of ``a`` with the nearest outline of ``b``.
+
+    Reefs of the region only; ``b`` loses what is land; features without a partner on the other side go; ``a`` is
+    dissolved; samples within ``land_gap`` of land go. ``radius``, ``land_gap`` and ``cell`` are in layer units.
+    """
+    meet, cols = exact("intersects"), ["fid", "geom", "x0", "y0", "x1", "y1"]
+    here = lambda df: spatial_join(df, region, cell * 8, on=meet, how="semi")
+    keep = Scratch(a.sparkSession).keep  # each is read several times
+    a = keep(here(a if is_reef is None else a.where(is_reef)).select(*cols))
+    b = keep(difference(here(b).select(*cols), land.select(*cols), cell))
+    one, other = keep(spatial_join(a, b, cell, on=meet, how="semi")), spatial_join(b, a, cell, on=meet, how="semi")
+    merged = dissolve(one.join(same_class_components(one.withColumn("cls", F.lit("")), cell), "fid"), ["component"], cell * 8)
+    samples = keep(with_bounds(ring_samples(merged.withColumnRenamed("component", "fid")))).withColumn("_k", F.struct("fid", "part", "sid"))
+    wet = spatial_join(samples, land.select(*cols), max(cell, land_gap), on=geo("is_near", "l_geom", "r_geom", float(land_gap)), how="anti", key="_k", within=land_gap)
+    near = keep(nearest_lines(wet.select("fid", "part", "sid", "geom"), other.withColumn("geom", geo("boundary", "geom")), radius))
+    return near.where("matched"), near.where("NOT matched")
 
 
 def dithered(layer: DataFrame, mu: float = -0.57, sigma: float = 0.852, low: float = 0.05, high: float = 2.0, seed: int = 42, tries: int = 64) -> DataFrame:
     """Signed log-normal shift of each outline: ``buffer_m`` = +-accuracy * ratio, the ratio drawn until within [low, high]."""
     draws = F.array(*[F.exp(mu + sigma * hashed_normal(seed + i, "fid")) for i in range(tries)])
-    ratio = F.element_at(F.filter(draws, lambda r: (r >= low) & (r <= high)), 1)
+    missed = F.raise_error(F.lit(f"no ratio within [{low}, {high}] in {tries} draws")).cast("double")
+    ratio = F.coalesce(F.get(F.filter(draws, lambda r: (r >= low) & (r <= high)), F.lit(0)), missed)
     sign = F.when(hashed_uniform(seed - 1, "fid") < 0.5, -1.0).otherwise(1.0)
     return layer.withColumn("ratio", ratio).withColumn("buffer_m", sign * F.col("ratio") * F.col("edgeacc_m"))
 
 
+def dithered_dissolve(layer: DataFrame, cell: float, **draw) -> DataFrame:
+    """(fid, buffer_m, n_parts, classes, area, geom): outlines moved as ``dithered`` says, emptied ones gone, parts that meet united.
+
+    A group has the signed shift of the largest magnitude among its parts and the distinct classes.
+    """
+    moved = dithered(layer, **draw).withColumn("geom", geo("buffer", "geom", F.col("buffer_m")))
+    parts = single_parts(moved.where(~geo("is_empty", "geom"))).select("cls", "buffer_m", "geom", "x0", "y0", "x1", "y1", F.xxhash64("fid", "geom").alias("fid"))
+    parts = Scratch(layer.sparkSession).keep(parts)
+    group = parts.withColumnRenamed("cls", "_cls").withColumn("cls", F.lit(""))
+    member = parts.join(same_class_components(group, cell), "fid")
+    facts = member.groupBy("component").agg(largest_shift(member, "fid", "buffer_m").alias("buffer_m"), F.count(F.lit(1)).alias("n_parts"), at.joined_set("cls").alias("classes"))
+    out = facts.join(dissolve(member, ["component"], cell * 8), "component").withColumnRenamed("component", "fid")
+    return out.withColumn("area", geo("area", "geom"))
+
+
 def combine_batches(batches: DataFrame, batch: str, valid_id: str, size: int = 171) -> DataFrame:
     """ValidID made unique over batches by their position."""
     return batches.withColumn("valid_id", F.col(valid_id) + F.col(batch) * size)
@@ -478,16 +596,35 @@ def stratified_batches(features: DataFrame, region: str, fid: str, per_batch: in
     return f.join(base, [region, "_slice"]).select(region, fid, F.floor((F.col("_base") + rank - 1) / per_batch).cast("int").alias("batch"))
 
 
-def decoys(n: int, df: DataFrame, mask: Column, box: tuple[float, float, float, float], seed: int, tries: int = 200) -> DataFrame:
-    """(no, x, y, width_m, aspect): n rectangles at random places for which ``mask`` (over x, y) holds, sizes skewed to small."""
+def decoys(n: int, mask: DataFrame, box: tuple[float, float, float, float], seed: int, cell: float = 0.5, tries: int = 8, rounds: int = 24) -> DataFrame:
+    """(no, x, y, width_m, aspect): n rectangles with their centres at random places within the outlines of ``mask``, sizes skewed to small.
+
+    Places are drawn for all that have none yet, ``tries`` at first and twice as many each round up to 1,024 times that, until none is left. Raises if the mask holds so little
+    of the box that ``rounds`` rounds don't do.
+    """
     x0, y0, x1, y1 = box
-    spark = df.sparkSession
-    draw = spark.range(n).select(F.col("id").alias("no"), F.explode(F.sequence(F.lit(0), F.lit(tries - 1))).alias("t"))
-    draw = draw.withColumns({"x": x0 + (x1 - x0) * hashed_uniform(seed, "no", "t"), "y": y0 + (y1 - y0) * hashed_uniform(seed + 1, "no", "t")})
-    spot = draw.where(mask).groupBy("no").agg(F.min(F.struct("t", "x", "y")).alias("s"))
+    spark = mask.sparkSession
+    scratch = Scratch(spark)
+    left, found = spark.range(n).select(F.col("id").alias("no")), []
+    done = 0
+    for k in range(rounds):
+        upto = done + tries * 2 ** min(k, 10)
+        draw, done = left.select("no", F.explode(F.sequence(F.lit(done), F.lit(upto - 1))).alias("t")), upto
+        draw = draw.withColumns({"x": x0 + (x1 - x0) * hashed_uniform(seed, "no", "t"), "y": y0 + (y1 - y0) * hashed_uniform(seed + 1, "no", "t")})
+        text = F.concat(F.lit("POINT ("), F.col("x").cast("string"), F.lit(" "), F.col("y").cast("string"), F.lit(")"))
+        draw = draw.withColumns({"fid": F.struct("no", "t"), "geom": geo("from_text", text), "x0": F.col("x"), "x1": F.col("x"), "y0": F.col("y"), "y1": F.col("y")})
+        wet = spatial_join(draw, mask.select("fid", "geom", "x0", "y0", "x1", "y1"), cell, on=geo("contains", "r_geom", "l_geom"), how="semi")
+        spot = scratch.keep(wet.groupBy("no").agg(F.min(F.struct("t", "x", "y")).alias("s")).select("no", "s.x", "s.y"))
+        found.append(spot)
+        left = scratch.keep(left.join(spot, "no", "left_anti"))
+        if left.isEmpty():
+            break
+    else:
+        raise ValueError(f"{left.count()} of {n} decoys have no place in the mask after {done} draws each")
+    spot = reduce(DataFrame.unionByName, found)
     width = 50.0 + 1950.0 * F.pow(hashed_uniform(seed + 2, "no"), 2)
     aspect = 0.5 + 1.5 * hashed_uniform(seed + 3, "no")
-    out = spot.select("no", "s.x", "s.y", width.alias("width_m"), aspect.alias("aspect"))
+    out = spot.select("no", "x", "y", width.alias("width_m"), aspect.alias("aspect"))
     jig = lambda k, size: (hashed_uniform(seed + k, "no") - 0.5) * 0.6 * size / 111000
     return out.withColumns({"x": F.col("x") + jig(4, F.col("width_m")), "y": F.col("y") + jig(5, F.col("width_m") / F.col("aspect"))})
 
@@ -515,21 +652,30 @@ def boundary_points(layer: DataFrame, land: DataFrame, cell: float, key: str, tr
     return first
 
 
+def in_regions(features: DataFrame, regions: DataFrame, cell: float) -> DataFrame:
+    """Features with the ``regionid`` of the region that holds their centroid; those in none are left out."""
+    centres = with_bounds(features.select("fid", geo("centroid", "geom").alias("geom")))
+    met = spatial_join(centres, regions.select("regionid", "geom", "x0", "y0", "x1", "y1"), cell, on=geo("within", "l_geom", "r_geom"))
+    return features.join(met.groupBy(F.col("l_fid").alias("fid")).agg(F.min("r_regionid").alias("regionid")), "fid")
+
+
 def validation_batch(
-    features: DataFrame, land: DataFrame, batch: int, per_region: int, mask: Column, box: tuple[float, float, float, float], cell: float,
+    features: DataFrame, regions: DataFrame, land: DataFrame, batch: int, per_region: int, mask: DataFrame, box: tuple[float, float, float, float], cell: float,
     seed: int = 1, share: float = 0.3, tolerance_m: float = 50.0, fuzz_m: float = 50.0,
 ) -> DataFrame:
     """One batch for reviewers: (valid_id, fake, centroid, extent, boundary) of sampled features and of decoys, shuffled.
 
-    ``features``: fid, regionid, geom in degrees. A feature without a wet boundary point keeps a null one.
+    ``features``: fid, geom in degrees. A feature is in the region that holds its centroid, the smallest ``regionid`` if several do; one in
+    no region is not drawn. Decoys lie within the outlines of ``mask``. A feature without a wet boundary point keeps a null one.
     """
+    features = Scratch(features.sparkSession).keep(in_regions(features, regions, cell * 8))
     chosen = stratified_batches(features, "regionid", "fid", per_region, seed).where(F.col("batch") == batch)
     real = features.join(chosen.select("fid"), "fid", "left_semi").select(F.concat(F.lit("r"), F.col("fid").cast("string")).alias("key"), "geom")
-    fake = decoys(decoy_count(real.count(), share), features, mask, box, seed + batch)
+    fake = decoys(decoy_count(real.count(), share), mask, box, seed + batch, cell * 8)
     w, h = F.col("width_m") / 222000, F.col("width_m") / F.col("aspect") / 222000
     ring = ring_wkt(box_ring(F.col("x") - w, F.col("y") - h, F.col("x") + w, F.col("y") + h))
     fake = fake.select(F.concat(F.lit("f"), F.col("no").cast("string")).alias("key"), geo("from_text", ring).alias("geom"))
-    every = real.withColumn("fake", F.lit(False)).unionByName(fake.withColumn("fake", F.lit(True)))
+    every = Scratch(features.sparkSession).keep(real.withColumn("fake", F.lit(False)).unionByName(fake.withColumn("fake", F.lit(True))))
     every = at.sequential_id(every.withColumn("_u", hashed_uniform(seed + 9, "key")), [F.col("_u"), F.col("key")], "valid_id")
     spots = boundary_points(every, land, cell, "key", seed=seed).withColumnRenamed("geom", "boundary")
     deg = 1 / 111000

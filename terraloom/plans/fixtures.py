@@ -6,9 +6,12 @@ Spark and ``cte`` as text for the SQL side.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from terraloom.common import table
+from terraloom.functions.kernel import ensure, geo
 
 
 def _pick(key: str, n: int, values: list[str | None]) -> str:
@@ -86,7 +89,7 @@ LAYERS: dict[str, tuple[str, dict[str, str], str | None]] = {
     "squares": (
         "nation",
         {
-            "regionid": "CAST(n_nationkey AS BIGINT)", "regionname": "n_name",
+            "fid": "CAST(n_nationkey AS BIGINT)", "regionid": "CAST(n_nationkey AS BIGINT)", "regionname": "n_name",
             "x0": _D("(n_nationkey % 5) * 800"), "y0": _D("((n_nationkey - n_nationkey % 5) / 5) * 800"),
             "x1": _D("(n_nationkey % 5) * 800 + 800"), "y1": _D("((n_nationkey - n_nationkey % 5) / 5) * 800 + 800"),
         },
@@ -111,17 +114,80 @@ LAYERS: dict[str, tuple[str, dict[str, str], str | None]] = {
 }
 
 
+# Outlines: the box of a layer with a corner taken out, a corner cut off, a hole, or as two parts, by fid; so the box of each is
+# known, and all edges run along whole numbers or x + y = constant, so that SQL can count half cells and lattice points.
+
+KIND = "fid % 5"
+
+
+def _at(x: str, y: str) -> str:
+    return f"CAST({x} AS VARCHAR(20)) || ' ' || CAST({y} AS VARCHAR(20))"
+
+
+def _ring(*pts: tuple[str, str]) -> str:
+    return "'(' || " + " || ', ' || ".join(_at(*p) for p in [*pts, pts[0]]) + " || ')'"
+
+
+_XM, _YM, _CUT, _THIRD = "(x0 + floor((x1 - x0) / 2))", "(y0 + floor((y1 - y0) / 2))", "(least(x1 - x0, y1 - y0) - 1)", "floor((x1 - x0) / 3)"
+_RINGS = {
+    "corner out": [[[("x0", "y0"), ("x1", "y0"), ("x1", _YM), (_XM, _YM), (_XM, "y1"), ("x0", "y1")]]],
+    "corner cut": [[[(f"x0 + {_CUT}", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", f"y0 + {_CUT}")]]],
+    "hole": [[[("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")], [("x0 + 2", "y0 + 2"), ("x0 + 2", "y1 - 2"), ("x1 - 2", "y1 - 2"), ("x1 - 2", "y0 + 2")]]],
+    "two parts": [
+        [[("x0", "y0"), (f"x0 + {_THIRD}", "y0"), (f"x0 + {_THIRD}", "y1"), ("x0", "y1")]],
+        [[(f"x1 - {_THIRD}", "y0"), ("x1", "y0"), ("x1", "y1"), (f"x1 - {_THIRD}", "y1")]],
+    ],
+    "box": [[[("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")]]],
+}
+
+
+def _wkt(parts: list) -> str:
+    bodies = ["'(' || " + " || ', ' || ".join(_ring(*r) for r in rings) + " || ')'" for rings in parts]
+    return f"'POLYGON ' || {bodies[0]}" if len(bodies) == 1 else "'MULTIPOLYGON (' || " + " || ', ' || ".join(bodies) + " || ')'"
+
+
+WKT = "CASE " + " ".join(f"WHEN {KIND} = {i} THEN {_wkt(parts)}" for i, parts in enumerate(_RINGS.values())) + " END"
+
+
+def holds(t: str, x: str, y: str) -> str:
+    """SQL: the closed outline of the row ``t`` holds (x, y)."""
+    c = lambda e: re.sub(r"\b(x0|y0|x1|y1|fid)\b", rf"{t}.\1", e)
+    return c(
+        f"({x} BETWEEN x0 AND x1 AND {y} BETWEEN y0 AND y1 AND CASE {KIND} WHEN 0 THEN NOT ({x} > {_XM} AND {y} > {_YM}) WHEN 1 THEN ({x} - x0) + ({y} - y0) >= {_CUT} "
+        f"WHEN 2 THEN NOT ({x} > x0 + 2 AND {x} < x1 - 2 AND {y} > y0 + 2 AND {y} < y1 - 2) WHEN 3 THEN {x} <= x0 + {_THIRD} OR {x} >= x1 - {_THIRD} ELSE true END)"
+    )
+
+
+for _name, _base in {
+    "shapes": "rects", "attr_shapes": "attrs", "new_shapes": "rects_new", "added_shapes": "rects_added", "ref_shapes": "refs", "land_shapes": "land", "tag_shapes": "tags", "zones": "squares",
+}.items():
+    LAYERS[_name] = (_base, {c: c for c in LAYERS[_base][1]} | {"wkt": WKT}, None)
+LAYERS["spots_off"] = ("events", {"fid": _E, "x": _D(f"({_E} * 31) % 4000 + 0.37"), "y": _D(f"({_E} * 57) % 4000 + 0.29")}, None)
+
+
 def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, cols, where = LAYERS[name]
-    src = table(spark, sf_dir, source)
+    src = layer(spark, sf_dir, source) if source in LAYERS else table(spark, sf_dir, source)
     src = src.where(where) if where else src
     return src.selectExpr(*[f"{e} AS {c}" for c, e in cols.items()])
 
 
+def outlines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A layer of outlines with its geometry."""
+    ensure(spark)
+    return layer(spark, sf_dir, name).withColumn("geom", geo("from_text", "wkt")).drop("wkt")
+
+
 def cte(*names: str) -> str:
-    parts = []
-    for name in names:
+    parts: dict[str, str] = {}
+
+    def add(name: str) -> None:
         source, cols, where = LAYERS[name]
+        if source in LAYERS:
+            add(source)
         body = ", ".join(f"{e} AS {c}" for c, e in cols.items())
-        parts.append(f"{name} AS (SELECT {body} FROM {source}{f' WHERE {where}' if where else ''})")
-    return ",\n".join(parts)
+        parts.setdefault(name, f"{name} AS (SELECT {body} FROM {source}{f' WHERE {where}' if where else ''})")
+
+    for name in names:
+        add(name)
+    return ",\n".join(parts.values())

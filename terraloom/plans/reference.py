@@ -11,11 +11,10 @@ from terraloom.common import name_key, table
 from terraloom.functions import scalar as fn
 from terraloom.operators import attributes as at
 from terraloom.operators.packed import split_packed, vocabulary
-from terraloom.operators.spatial import box_area, box_distance, box_pairs, common_area, nearest, spatial_join
+from terraloom.operators.spatial import box_area
 from terraloom.plans import composites as cp
 from terraloom.plans.fixtures import cte, layer
 
-CELL = 64.0
 FLAG_SOURCES = ["src_ahs", "src_kim", "src_unep", "src_ga", "src_bath_m", "src_bath_i", "src_cht_m", "src_cht_i"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,10 +30,6 @@ def query(sql: str | None = None):
     return add
 
 
-_MEET = "l.x0 <= r.x1 AND r.x0 <= l.x1 AND l.y0 <= r.y1 AND r.y0 <= l.y1"
-_COMMON = "greatest(least(l.x1, r.x1) - greatest(l.x0, r.x0), 0) * greatest(least(l.y1, r.y1) - greatest(l.y0, r.y0), 0)"
-
-
 def _even(e: str, n: int) -> str:
     return f"round_even(round({e}, {n + 8}), {n})"
 
@@ -150,19 +145,14 @@ def _crosswalk(spark, d):
     return read.join(cw.select(F.col("cw_id").alias("row_no"), F.col("rb_type_l3_v0_4").alias("new")).distinct(), "row_no")
 
 
-_CW = """long AS (SELECT cw_id, trim(unnest(string_split(rb_type_l3_v0_3, ';'))) AS old, rb_type_l3_v0_4 AS new FROM rb_type_l3_crosswalk
-  WHERE NOT regexp_matches(rb_type_l3_v0_3, '[''"]')), pairs AS (SELECT old, arg_min(new, cw_id) AS new FROM long WHERE old <> '' GROUP BY old)"""
-
-
-@query(f"WITH {_CW} SELECT row_id, new AS rb_type_l3 FROM nw_features f LEFT JOIN pairs p ON f.rb_type_l3 = p.old")
+@query()
 def crosswalk_explode(spark, d):
     """List field exploded, classes overwritten, unmatched ones null."""
     pairs = _crosswalk(spark, d).groupBy("old").agg(F.min_by(F.struct("new"), "row_no")["new"].alias("new"))
     return cp.crosswalk_by_name(table(spark, d, "nw_features").select("row_id", "rb_type_l3"), pairs, "old", "new", "rb_type_l3")
 
 
-@query("""WITH long AS (SELECT trim(unnest(string_split(rb_type_l3_v0_3, ';'))) AS old FROM rb_type_l3_crosswalk WHERE NOT regexp_matches(rb_type_l3_v0_3, '[''"]'))
-SELECT old, count(*) AS count FROM long WHERE old <> '' GROUP BY old HAVING count(*) > 1""")
+@query()
 def crosswalk_duplicates(spark, d):
     """A22."""
     return at.duplicate_keys(_crosswalk(spark, d), "old")
@@ -214,73 +204,8 @@ def crosswalk_mismatch(spark, d):
     return _expanded(spark, d)[1].groupBy("rb_type_l3", "attachment", "depthcat").agg(F.count(F.lit(1)).alias("n"))
 
 
-# Spatial joins
-
-
-@query(f"""WITH {cte('rects')} SELECT l.fid AS feature_1, r.fid AS feature_2, {_COMMON} AS area, (greatest(l.x0, r.x0) + least(l.x1, r.x1)) / 2 AS x,
-  (greatest(l.y0, r.y0) + least(l.y1, r.y1)) / 2 AS y, least(l.cls, r.cls) || ' | ' || greatest(l.cls, r.cls) AS types
-FROM rects l JOIN rects r ON l.fid < r.fid AND {_MEET} WHERE {_COMMON} > 0.0001""")
-def overlap_pairs(spark, d):
-    """D2, J1, J6, F15, G4, G17."""
-    return cp.overlap_report(layer(spark, d, "rects"), CELL)
-
-
-@query(f"""WITH {cte('rects')} SELECT least(l.cls, r.cls) || ' | ' || greatest(l.cls, r.cls) AS types, count(*) AS n, sum({_COMMON}) AS area
-FROM rects l JOIN rects r ON l.fid < r.fid AND {_MEET} WHERE {_COMMON} > 0.0001 GROUP BY 1""")
-def overlap_type_pairs(spark, d):
-    """Counts by sorted pair of classes."""
-    return cp.overlap_report(layer(spark, d, "rects"), CELL).groupBy("types").agg(F.count(F.lit(1)).alias("n"), F.sum("area").alias("area"))
-
-
-@query(f"""WITH {cte('rects', 'squares')}, c AS (SELECT fid, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y FROM rects)
-SELECT fid, regionname FROM c LEFT JOIN squares s ON c.x BETWEEN s.x0 AND s.x1 AND c.y BETWEEN s.y0 AND s.y1""")
-def region_assign(spark, d):
-    """Centroids to regions, unassigned kept, border points in both regions."""
-    c = layer(spark, d, "rects").select("fid", ((F.col("x0") + F.col("x1")) / 2).alias("x0"), ((F.col("y0") + F.col("y1")) / 2).alias("y0"))
-    c = c.withColumns({"x1": F.col("x0"), "y1": F.col("y0")})
-    return spatial_join(c, layer(spark, d, "squares"), 400.0, how="left").select(F.col("l_fid").alias("fid"), F.col("r_regionname").alias("regionname"))
-
-
-@query(f"WITH {cte('rects', 'land')} SELECT fid FROM rects l WHERE NOT EXISTS (SELECT 1 FROM land r WHERE {_MEET})")
-def away_from_land(spark, d):
-    """J4."""
-    return spatial_join(layer(spark, d, "rects"), layer(spark, d, "land"), CELL, how="anti").select("fid")
-
-
-@query(f"""WITH {cte('rects', 'refs')}, m AS (SELECT l.fid AS a, r.fid AS b FROM rects l JOIN refs r ON {_MEET})
-SELECT 'a' AS side, a AS fid FROM m GROUP BY a UNION ALL SELECT 'b', b FROM m GROUP BY b""")
-def mutual_overlap(spark, d):
-    """Features of either layer that meet the other."""
-    a, b = layer(spark, d, "rects"), layer(spark, d, "refs")
-    one = spatial_join(a, b, CELL, how="semi").select(F.lit("a").alias("side"), "fid")
-    return one.unionByName(spatial_join(b, a, CELL, how="semi").select(F.lit("b").alias("side"), "fid"))
-
-
-@query(f"""WITH {cte('spots', 'rects')}, dist AS (SELECT s.fid AS sid, r.fid AS rid,
-  sqrt(pow(greatest(r.x0 - s.x, s.x - r.x1, 0), 2) + pow(greatest(r.y0 - s.y, s.y - r.y1, 0), 2)) AS dd
-  FROM spots s JOIN rects r ON s.x BETWEEN r.x0 - 20 AND r.x1 + 20 AND s.y BETWEEN r.y0 - 20 AND r.y1 + 20),
-best AS (SELECT sid, arg_min(rid, (dd, rid)) AS m, min(dd) AS dd FROM dist WHERE dd <= 20 GROUP BY sid)
-SELECT fid, m AS match_fid, dd AS distance, dd IS NOT NULL AS matched FROM spots LEFT JOIN best ON fid = sid""")
-def nearest_within(spark, d):
-    """Nearest feature within a radius, unmatched points kept."""
-    s = layer(spark, d, "spots").select("fid", F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
-    return nearest(s, layer(spark, d, "rects").select("fid", "x0", "y0", "x1", "y1"), 20.0, box_distance(), "fid", "fid")
-
-
-@query(f"""WITH {cte('rects', 'squares')} SELECT l.fid, regionid, {_COMMON} AS area FROM rects l JOIN squares r ON {_MEET} WHERE regionid < 12 AND {_COMMON} > 0""")
-def clip_area(spark, d):
-    """G19, G26 on rectangles: features cut to a mask, empties dropped."""
-    return box_pairs(layer(spark, d, "rects"), layer(spark, d, "squares"), 400.0).select(F.col("l_fid").alias("fid"), F.col("r_regionid").alias("regionid"), common_area().alias("area")).where("area > 0")
-
-
 # Components, clusters, sources
 
-_COMP = """RECURSIVE {fix}, links AS (SELECT l.fid AS a, r.fid AS b FROM {lay} l JOIN {lay} r ON l.cls = r.cls AND l.fid <> r.fid AND {meet}),
-reach(fid, comp) USING KEY (fid) AS (SELECT fid, fid FROM {lay} UNION
-  SELECT r.fid, min(n.comp) FROM recurring.reach r JOIN links k ON k.a = r.fid JOIN reach n ON n.fid = k.b GROUP BY r.fid, r.comp HAVING min(n.comp) < r.comp)"""
-_NEAR = "l.x0 - 3 <= r.x1 AND r.x0 <= l.x1 + 3 AND l.y0 - 3 <= r.y1 AND r.y0 <= l.y1 + 3 AND pow(greatest(l.x0 - r.x1, r.x0 - l.x1, 0), 2) + pow(greatest(l.y0 - r.y1, r.y0 - l.y1, 0), 2) <= 9"
-
-
 def _set(c):
     return f"coalesce(array_to_string(list_sort(list(DISTINCT nullif(trim({c}), '')) FILTER (WHERE nullif(trim({c}), '') IS NOT NULL)), ';'), '')"
 
@@ -290,40 +215,6 @@ def _ranked(c, order, other):
     return f"coalesce(arg_min(trim({c}), (CASE trim({c}) {arms} ELSE {other} END, trim({c}))) FILTER (WHERE nullif(trim({c}), '') IS NOT NULL), '')"
 
 
-@query(f"""WITH {_COMP.format(fix=cte('attrs'), lay='attrs', meet=_MEET)}
-SELECT cls, comp AS component, {_set('rb_type_l3')} AS rb_l3_agg, {_ranked('attachment', at.ATTACHMENT_PRIORITY, 99)} AS attachment,
-  array_to_string(list_filter(['Land', 'Isolated', 'Fringing', 'Oceanic'], lambda v: list_contains(list(trim(attachment)), v)), ';') AS attset,
-  {_ranked('depthcat', at.DEPTH_ORDER, 999)} AS depthcat, {_ranked('featconf', tuple(at.CONFIDENCE), -1)} AS featconf, {_ranked('typeconf', tuple(at.CONFIDENCE), -1)} AS typeconf,
-  {_set('edgesrc')} AS edgesrc, coalesce(CAST(trunc(max(TRY_CAST(edgeacc_m AS DOUBLE))) AS INTEGER), 0) AS edgeacc_m, count(*) AS n_parts
-FROM attrs JOIN reach USING (fid) GROUP BY cls, comp""")
-def dissolve_l2(spark, d):
-    """D12, A6, A9 to A14."""
-    a = layer(spark, d, "attrs")
-    return cp.dissolve_attributes(a, cp.same_class_components(a, CELL))
-
-
-@query(f"""WITH {_COMP.format(fix=cte('rects'), lay='rects', meet=_NEAR)},
-c AS (SELECT cls, comp, count(*) AS n_parts, sum((x1 - x0) * (y1 - y0) * 16) AS a FROM rects JOIN reach USING (fid) GROUP BY cls, comp), w AS (SELECT *, 2 * sqrt(a / pi()) AS w FROM c)
-SELECT cls, comp AS cluster_id, n_parts, {_even('a / 1e6', 5)} AS c_area_km2, {_even('w', 1)} AS eff_wid_m,
-  CASE WHEN w < 100 THEN 'Very small' WHEN w < 300 THEN 'Small' WHEN w < 1000 THEN 'Medium' WHEN w < 3000 THEN 'Large' ELSE 'Very large' END AS size_class FROM w""")
-def reef_clusters(spark, d):
-    """Features of a class at most 3 units apart, their area and effective width."""
-    return cp.clusters(layer(spark, d, "rects"), CELL, 3.0, 4.0)
-
-
-@query(f"""WITH {cte('rects')}, {"e AS (SELECT fid, CAST(fid % 97 AS DOUBLE) AS edge, (x1 - x0) * (y1 - y0) AS area FROM rects)"},
-links AS (SELECT l.fid AS a, r.fid AS b FROM rects l JOIN rects r ON l.fid <> r.fid AND {_MEET})
-SELECT comp AS fid, max(edge) AS edgeacc_m, sum(area) AS area, count(*) AS n FROM e JOIN (
-  WITH RECURSIVE reach(fid, comp) USING KEY (fid) AS (SELECT fid, fid FROM rects UNION
-    SELECT r.fid, min(n.comp) FROM recurring.reach r JOIN links k ON k.a = r.fid JOIN reach n ON n.fid = k.b GROUP BY r.fid, r.comp HAVING min(n.comp) < r.comp)
-  SELECT * FROM reach) USING (fid) GROUP BY comp""")
-def dissolve_all(spark, d):
-    """One dissolve over all classes with the largest accuracy and the summed area."""
-    r = layer(spark, d, "rects").withColumn("cls", F.lit("all"))
-    m = r.withColumn("edge", (F.col("fid") % 97).cast("double")).join(cp.same_class_components(r, CELL), "fid")
-    return m.groupBy(F.col("component").alias("fid")).agg(F.max("edge").alias("edgeacc_m"), F.sum(box_area()).alias("area"), F.count(F.lit(1)).alias("n"))
-
-
 @query(f"""WITH {cte('rects')}, p AS (SELECT fid % 50 AS grp, fid, CAST((fid * 37) % 201 - 100 AS DOUBLE) AS buf, cls FROM rects)
 SELECT grp, arg_max(buf, (abs(buf), fid)) AS buffer_m, {_set('cls')} AS classes FROM p GROUP BY grp""")
 def largest_shift(spark, d):
@@ -332,42 +223,6 @@ def largest_shift(spark, d):
     return p.groupBy("grp").agg(cp.largest_shift(p, "fid", "buf").alias("buffer_m"), at.joined_set("cls").alias("classes"))
 
 
-_SRC = [("AHS", "refs"), ("KIM", "refs"), ("UNEP", "refs"), ("GA", "refs"), ("bath_m", "tags"), ("bath_i", "tags"), ("cht_m", "tags"), ("cht_i", "tags")]
-_FLAGS = ",\n  ".join(f"EXISTS (SELECT 1 FROM {t} r WHERE r.source = '{s}' AND {_MEET}) AS src_{s.lower()}" for s, t in _SRC)
-
-
-@query(f"""WITH {cte('rects', 'refs', 'tags')}, f AS (SELECT fid, {_FLAGS} FROM rects l)
-SELECT *, CASE WHEN src_ahs OR src_kim OR src_unep OR src_ga OR src_bath_m OR src_cht_m THEN 'Previously mapped'
-  WHEN src_bath_i OR src_cht_i THEN 'Previously indicated' ELSE 'Newly mapped' END AS known_stat FROM f""")
-def source_status(spark, d):
-    """D16, J3, P11, P12."""
-    refs = layer(spark, d, "refs").unionByName(layer(spark, d, "tags"))
-    out = cp.source_flags(layer(spark, d, "rects"), refs, [s for s, _ in _SRC], CELL)
-    return out.withColumn("known_stat", cp.known_status()).drop("x0", "y0", "x1", "y1", "cls")
-
-
-@query(f"""WITH {cte('rects', 'refs', 'tags')}, f AS (SELECT fid, cls, (x1 - x0) * (y1 - y0) AS a, {_FLAGS} FROM rects l),
-s AS (SELECT *, CASE WHEN src_ahs OR src_kim OR src_unep OR src_ga OR src_bath_m OR src_cht_m THEN 'Previously mapped' WHEN src_bath_i OR src_cht_i THEN 'Previously indicated' ELSE 'Newly mapped' END AS st FROM f)
-SELECT cls, count(*) AS n, count(*) FILTER (WHERE st = 'Previously mapped') AS n_mapped, count(*) FILTER (WHERE st = 'Previously indicated') AS n_indicated,
-  count(*) FILTER (WHERE st = 'Newly mapped') AS n_new, sum(CASE WHEN st = 'Newly mapped' THEN a ELSE 0 END) AS area_new FROM s GROUP BY cls""")
-def status_breakdown(spark, d):
-    """A3: conditional counts and areas."""
-    s = source_status(spark, d).join(layer(spark, d, "rects"), "fid")
-    st = F.col("known_stat")
-    return s.groupBy("cls").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(st == "Previously mapped").alias("n_mapped"), F.count_if(st == "Previously indicated").alias("n_indicated"),
-        F.count_if(st == "Newly mapped").alias("n_new"), F.sum(F.when(st == "Newly mapped", box_area()).otherwise(0.0)).alias("area_new"),
-    )
-
-
-@query(f"""WITH {cte('rects', 'refs', 'tags')}, every AS (SELECT * FROM refs UNION ALL SELECT * FROM tags)
-SELECT source, count(*) AS n FROM every l WHERE NOT EXISTS (SELECT 1 FROM rects r WHERE {_MEET}) GROUP BY source""")
-def missed_references(spark, d):
-    """References that no feature meets, by source."""
-    every = layer(spark, d, "refs").unionByName(layer(spark, d, "tags")).withColumn("_k", F.concat_ws("/", "source", "fid"))
-    return spatial_join(every, layer(spark, d, "rects"), CELL, how="anti", key="_k").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-
-
 _COV = "\nUNION ALL\n".join(
     f"SELECT '{s}' AS source, count(*) FILTER (WHERE {s}) AS n, count(*) FILTER (WHERE {s} AND hits = 1) AS n_only, count(*) AS t FROM h" for s in FLAG_SOURCES
 )
@@ -388,76 +243,6 @@ def source_cumulative(spark, d):
     return cp.cumulative_coverage(layer(spark, d, "flags"), FLAG_SOURCES)
 
 
-@query(f"""WITH {cte('rects', 'refs', 'land')}, coastal AS (SELECT * FROM rects l WHERE EXISTS (SELECT 1 FROM land r WHERE {_MEET})),
-platform AS (SELECT * FROM rects WHERE fid NOT IN (SELECT fid FROM coastal)), zone AS (SELECT x0, y0, x1, y1 FROM land UNION ALL SELECT x0, y0, x1, y1 FROM coastal),
-own AS (SELECT * FROM refs l WHERE NOT EXISTS (SELECT 1 FROM zone r WHERE {_MEET})),
-m AS (SELECT l.fid AS a, r.fid AS r FROM own l JOIN platform r ON {_MEET}),
-v AS (SELECT (SELECT count(*) FROM platform) AS p, (SELECT count(*) FROM own) AS o, (SELECT count(DISTINCT a) FROM m) AS tp, (SELECT count(DISTINCT r) FROM m) AS tr)
-SELECT unnest(['rough_platform', 'auto_platform', 'true_positives', 'true_positives_rough', 'false_positives', 'false_negatives', 'true_positive_rate', 'false_positive_rate', 'false_negative_rate', 'true_positive_rate_rough']) AS metric,
-  unnest([p, o, tp, tr, o - tp, p - tr, {_even('tp * 100.0 / p', 4)}, {_even('(o - tp) * 100.0 / o', 4)}, {_even('(p - tr) * 100.0 / p', 4)}, {_even('tr * 100.0 / p', 4)}]::DOUBLE[]) AS value FROM v""")
-def mask_confusion(spark, d):
-    """D13, A27."""
-    return cp.mask_confusion(layer(spark, d, "rects"), layer(spark, d, "refs"), layer(spark, d, "land"), CELL)
-
-
-@query(f"""WITH {cte('rects', 'land', 'squares')}, reg AS (SELECT * FROM squares WHERE regionid IN (6, 7, 8)),
-inside AS (SELECT *, EXISTS (SELECT 1 FROM land r WHERE {_MEET}) AS uncharted FROM rects l WHERE EXISTS (SELECT 1 FROM reg r WHERE {_MEET}))
-SELECT cls, count(*) AS n, count(*) FILTER (WHERE uncharted) AS n_uncharted, {_even('count(*) FILTER (WHERE uncharted) * 100.0 / count(*)', 4)} AS pct,
-  count(*) FILTER (WHERE (x1 - x0) * (y1 - y0) > 900) AS n_large, sum((x1 - x0) * (y1 - y0)) AS area FROM inside GROUP BY cls""")
-def uncharted(spark, d):
-    """Features of a region, the share in an uncharted area, sizes."""
-    reg = layer(spark, d, "squares").where(F.col("regionid").isin(6, 7, 8)).withColumnRenamed("regionid", "fid")
-    inside = spatial_join(layer(spark, d, "rects"), reg, 400.0, how="semi")
-    hit = spatial_join(inside, layer(spark, d, "land"), CELL, how="semi").select("fid", F.lit(True).alias("u"))
-    both = inside.join(hit, "fid", "left").withColumn("u", F.coalesce("u", F.lit(False)))
-    n, u = F.count(F.lit(1)), F.count_if("u")
-    return both.groupBy("cls").agg(
-        n.alias("n"), u.alias("n_uncharted"), fn.half_even(fn.safe_ratio(u.cast("double"), n), 4).alias("pct"), F.count_if(box_area() > 900).alias("n_large"), F.sum(box_area()).alias("area")
-    )
-
-
-@query(f"""WITH {cte('rects', 'refs')}, links AS (SELECT l.fid AS o, r.fid AS m FROM refs l JOIN rects r ON {_MEET}),
-pairs AS (SELECT DISTINCT a.m AS a, b.m AS b FROM links a JOIN links b USING (o) WHERE a.m <> b.m),
-comp AS (WITH RECURSIVE reach(fid, comp) USING KEY (fid) AS (SELECT fid, fid FROM rects UNION
-    SELECT r.fid, min(n.comp) FROM recurring.reach r JOIN pairs k ON k.a = r.fid JOIN reach n ON n.fid = k.b GROUP BY r.fid, r.comp HAVING min(n.comp) < r.comp) SELECT * FROM reach)
-SELECT comp AS fid, count(DISTINCT c.fid) AS n_members, count(DISTINCT o) AS n_absorbed FROM comp c LEFT JOIN links ON m = c.fid GROUP BY comp""")
-def connected_merge(spark, d):
-    """Masters joined through shared absorbed features."""
-    out, _ = cp.connected_merge(layer(spark, d, "rects"), layer(spark, d, "refs"), CELL)
-    return out.select("fid", F.size("members").cast("bigint").alias("n_members"), F.greatest(F.size(F.coalesce("absorbed", F.array().cast("array<bigint>"))), F.lit(0)).cast("bigint").alias("n_absorbed"))
-
-
-# Version diff
-
-_DIFF = f"""{cte('attrs', 'rects_new', 'rects_added')}, new AS (SELECT * FROM rects_new UNION ALL SELECT * FROM rects_added),
-near AS (SELECT l.fid AS n, r.fid AS o, {_COMMON} AS c, l.x0 = r.x0 AND l.y0 = r.y0 AND l.x1 = r.x1 AND l.y1 = r.y1 AS same,
-  {_COMMON} / ((l.x1 - l.x0) * (l.y1 - l.y0) + (r.x1 - r.x0) * (r.y1 - r.y0) - {_COMMON}) AS iou FROM new l JOIN attrs r ON {_MEET}),
-e1 AS (SELECT n, o, row_number() OVER (PARTITION BY n ORDER BY n, o) AS i, row_number() OVER (PARTITION BY o ORDER BY n, o) AS j FROM near WHERE same),
-eq AS (SELECT n, o FROM e1 WHERE i = j),
-p0 AS (SELECT n, o, iou FROM near WHERE iou >= 0.5 AND n NOT IN (SELECT n FROM eq) AND o NOT IN (SELECT o FROM eq))"""
-_ROUNDS = "".join(
-    f""",
-w{k} AS (SELECT n, o, iou FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY iou DESC, n, o) AS i, row_number() OVER (PARTITION BY o ORDER BY iou DESC, n, o) AS j FROM p{k}) WHERE i = 1 AND j = 1),
-p{k + 1} AS (SELECT n, o, iou FROM p{k} WHERE n NOT IN (SELECT n FROM w{k}) AND o NOT IN (SELECT o FROM w{k}))"""
-    for k in range(6)
-)
-
-
-@query(f"""WITH {_DIFF}{_ROUNDS}, better AS ({' UNION ALL '.join(f'SELECT n, o FROM w{k}' for k in range(6))}),
-pairs AS (SELECT 'unchanged' AS change, n, o FROM eq UNION ALL SELECT 'improved', n, o FROM better),
-rn AS (SELECT fid FROM new WHERE fid NOT IN (SELECT n FROM pairs)), ro AS (SELECT fid FROM attrs WHERE fid NOT IN (SELECT o FROM pairs)),
-met AS (SELECT n, o FROM near WHERE n IN (SELECT fid FROM rn) AND o IN (SELECT fid FROM ro))
-SELECT change, n AS new_fid, o AS old_fid, (a.attachment IS DISTINCT FROM b.attachment) OR (a.depthcat IS DISTINCT FROM b.depthcat) AS attr_chg
-FROM pairs JOIN new a ON a.fid = n JOIN attrs b ON b.fid = o
-UNION ALL SELECT 'improved', n, NULL, NULL FROM met GROUP BY n
-UNION ALL SELECT 'new', fid, NULL, NULL FROM rn WHERE fid NOT IN (SELECT n FROM met)
-UNION ALL SELECT 'deleted', NULL, fid, NULL FROM ro WHERE fid NOT IN (SELECT o FROM met)""")
-def version_diff(spark, d):
-    """D19, J15, J16, A26, G18, F14."""
-    new = layer(spark, d, "rects_new").unionByName(layer(spark, d, "rects_added"))
-    return cp.version_diff(layer(spark, d, "attrs"), new, CELL)
-
-
 # Statistics
 
 
@@ -558,130 +343,3 @@ def raster_catalog(spark, d):
     folder = F.concat(F.lit("base"), F.when(k % 5 > 0, F.concat(F.lit("/a"), (k % 5).cast("string"))).otherwise(""), F.when(k % 7 > 3, "/b/c/d").otherwise("/b"))
     path = F.concat(folder, F.lit("/"), k.cast("string"), F.when(k % 2 == 0, ".tif").otherwise(".txt"))
     return cp.raster_catalogue(table(spark, d, "part").select(path.alias("path")), base_depth=1)
-
-
-# Geometry kernel; the areas are checked by counting unit cells, as all coordinates are whole
-
-
-def _with_geom(df: DataFrame) -> DataFrame:
-    from terraloom.functions.kernel import ensure, geo
-
-    ensure(df.sparkSession)
-    ring = fn.ring_wkt(fn.box_ring(*map(F.col, ("x0", "y0", "x1", "y1"))))
-    return df.withColumn("geom", geo("from_text", ring))
-
-
-def _units(name: str, where: str = "true") -> str:
-    return (
-        f"SELECT fid, x, y FROM (SELECT fid, unnest(range(CAST(x0 AS BIGINT), CAST(x1 AS BIGINT))) AS x, y0, y1 FROM {name} WHERE {where}), "
-        "LATERAL (SELECT unnest(range(CAST(y0 AS BIGINT), CAST(y1 AS BIGINT))) AS y)"
-    )
-
-
-def _area(name: str = "area"):
-    from terraloom.functions.kernel import geo
-
-    return F.round(geo("area", "geom"), 6).alias(name)
-
-
-@query(f"""WITH {cte('rects')}, a AS ({_units('rects', "cls = 'Coral Reef'")}), b AS (SELECT DISTINCT x, y FROM ({_units('rects', "cls = 'Rocky Reef'")}))
-SELECT fid, CAST(count(*) AS DOUBLE) AS area FROM a ANTI JOIN b USING (x, y) GROUP BY fid""")
-def class_difference(spark, d):
-    """One class minus every feature of the other that it meets."""
-    r = _with_geom(layer(spark, d, "rects"))
-    return cp.difference(r.where("cls = 'Coral Reef'"), r.where("cls = 'Rocky Reef'"), CELL).select("fid", _area())
-
-
-@query(f"""WITH {cte('rects', 'land')}, a AS ({_units('rects')}), b AS (SELECT DISTINCT x, y FROM ({_units('land')}))
-SELECT fid, CAST(count(*) AS DOUBLE) AS area FROM a ANTI JOIN b USING (x, y) GROUP BY fid""")
-def clip_land(spark, d):
-    """D9, D10, P4, P5, P14, J14."""
-    return cp.clip_land(_with_geom(layer(spark, d, "rects")), _with_geom(layer(spark, d, "land")), CELL).select("fid", _area())
-
-
-@query(f"""WITH RECURSIVE {cte('rects', 'refs')}, t AS ({_units('rects', "cls = 'Coral Reef'")}), r AS (SELECT *, row_number() OVER (PARTITION BY tid ORDER BY oid) AS k FROM (
-  SELECT l.fid AS tid, r.fid AS oid, r.x0, r.y0, r.x1, r.y1 FROM rects l JOIN refs r ON {_MEET} WHERE l.cls = 'Coral Reef')),
-cut AS (SELECT t.fid, t.x, t.y, min(k) AS k FROM t JOIN r ON r.tid = t.fid AND t.x >= r.x0 AND t.x < r.x1 AND t.y >= r.y0 AND t.y < r.y1 GROUP BY ALL)
-SELECT t.fid, CAST(count(DISTINCT c.k) AS INTEGER) AS n_cuts, CAST(count(*) FILTER (WHERE c.k IS NULL) AS DOUBLE) AS area FROM t LEFT JOIN cut c ON c.fid = t.fid AND c.x = t.x AND c.y = t.y
-GROUP BY t.fid HAVING count(*) FILTER (WHERE c.k IS NULL) > 0""")
-def priority_overlap(spark, d):
-    """Overlays folded off each target in order, only overlaps above the threshold counted."""
-    r = _with_geom(layer(spark, d, "rects"))
-    return cp.priority_overlaps(r.where("cls = 'Coral Reef'"), _with_geom(layer(spark, d, "refs")), CELL).select("fid", "n_cuts", _area())
-
-
-@query(f"""WITH {cte('rects', 'refs', 'land')}, keep AS (SELECT DISTINCT x, y FROM (({_units('rects')}) UNION ALL ({_units('refs')}))), gone AS (SELECT DISTINCT x, y FROM ({_units('land')}))
-SELECT CAST(count(*) AS DOUBLE) AS area FROM keep ANTI JOIN gone USING (x, y)""")
-def mask_correction(spark, d):
-    """(mask and additions) minus removals, as single parts; their total area."""
-    mask = _with_geom(layer(spark, d, "rects"))
-    add = _with_geom(layer(spark, d, "refs")).withColumn("operation", F.lit("Add"))
-    cut = _with_geom(layer(spark, d, "land")).withColumn("operation", F.lit("Remove"))
-    parts = cp.correct_mask(mask, add.drop("source").unionByName(cut), CELL)
-    return parts.select(_area()).agg(F.round(F.sum("area"), 4).alias("area"))
-
-
-@query(f"""WITH {cte('rects', 'refs')}, m AS ({_units('refs')}), f AS (SELECT DISTINCT x, y FROM ({_units('rects')}))
-SELECT fid, CAST(count(*) AS DOUBLE) AS area, 'Shallow Sediment' AS rb_type_l3 FROM m ANTI JOIN f USING (x, y) GROUP BY fid""")
-def residual_features(spark, d):
-    """What of a mask no feature covers."""
-    out = cp.residual_features(_with_geom(layer(spark, d, "refs")), _with_geom(layer(spark, d, "rects")), {"rb_type_l3": "Shallow Sediment"}, CELL)
-    return out.select("fid", "rb_type_l3", _area()).groupBy("fid", "rb_type_l3").agg(F.sum("area").alias("area"))
-
-
-@query(f"""WITH {cte('rects')}, c AS (SELECT DISTINCT cls, x, y FROM (SELECT cls, u.x, u.y FROM ({_units('rects')}) u JOIN rects USING (fid)))
-SELECT cls, CAST(count(*) AS DOUBLE) AS area FROM c GROUP BY cls""")
-def dissolve_union(spark, d):
-    """A5: union per class in two levels."""
-    from terraloom.operators.spatial import dissolve
-
-    return dissolve(_with_geom(layer(spark, d, "rects")), ["cls"], 500.0).select("cls", _area())
-
-
-@query()
-def boundary_error(spark, d):
-    """Nearest outline point, geodesic error, region; degrees scaled from the fixture."""
-    s = layer(spark, d, "spots").select("fid", (120 + F.col("x") / 1000).alias("x"), (-20 + F.col("y") / 1000).alias("y"))
-    scaled = {c: (120 if c[0] == "x" else -20) + F.col(c) / 1000 for c in ("x0", "y0", "x1", "y1")}
-    r = layer(spark, d, "attrs").withColumns(scaled).withColumn("ring", fn.box_ring(*map(F.col, ("x0", "y0", "x1", "y1"))))
-    sq = layer(spark, d, "squares").withColumns(scaled)
-    return cp.boundary_error(s, r.select("fid", "ring", "edgeacc_m", "x0", "y0", "x1", "y1"), 0.01, sq)
-
-
-@query()
-def edge_samples(spark, d):
-    """Perimeter samples of dissolved outlines and the nearest line of another layer."""
-    from terraloom.functions.kernel import geo
-
-    r = _with_geom(layer(spark, d, "rects"))
-    comps = cp.same_class_components(r, CELL)
-    merged = r.join(comps, "fid").groupBy(F.col("component").alias("fid")).agg(geo("union_all", F.collect_list("geom")).alias("geom"))
-    outlines = _with_geom(layer(spark, d, "refs")).withColumn("geom", geo("boundary", "geom"))
-    near = cp.nearest_lines(cp.ring_samples(merged), outlines, 200.0)
-    return near.select("fid", "sid", "dist_m", "matched")
-
-
-@query()
-def dithered_outlines(spark, d):
-    """Outlines moved by a truncated log-normal share of their accuracy."""
-    from terraloom.functions.kernel import geo
-
-    a = _with_geom(layer(spark, d, "rects").withColumn("edgeacc_m", (F.col("fid") % 9 + 1).cast("double")))
-    out = cp.dithered(a).withColumn("geom", geo("buffer", "geom", F.col("buffer_m")))
-    return out.where(~geo("is_empty", "geom")).select("fid", "ratio", "buffer_m", _area())
-
-
-@query()
-def validation_decoys(spark, d):
-    """As many decoys as the share asks for, at places away from land."""
-    n = cp.decoy_count(table(spark, d, "nation").count() * 10)
-    return cp.decoys(n, table(spark, d, "nation"), (F.col("x") + F.col("y")) % 7 > 2, (112.0, -24.0, 142.0, -9.0), 5)
-
-
-@query()
-def validation_batch(spark, d):
-    """One batch of real features and decoys with centroid, extent and boundary point."""
-    scaled = {c: (120 if c[0] == "x" else -20) + F.col(c) / 1000 for c in ("x0", "y0", "x1", "y1")}
-    r = _with_geom(layer(spark, d, "rects").withColumns(scaled)).withColumn("regionid", F.col("fid") % 12)
-    land = _with_geom(layer(spark, d, "land").withColumns(scaled))
-    return cp.validation_batch(r, land, 0, 10, F.col("x") > F.col("y") + 138, (120.0, -20.0, 124.0, -16.0), 0.05)

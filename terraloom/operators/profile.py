@@ -1,8 +1,9 @@
 """Column-level quality profiles of large tables, load by load.
 
 ``footer_profile`` answers row, null, extrema and distinct counts from footers and dictionaries and reads only
-the chunks whose statistics are insufficient. ``violations`` finds entries that break a column's form: files
-in whose dictionaries every value is missing or admissible are not read for them. ``make_up`` and ``shifts``
+the chunks whose statistics are insufficient. ``violations`` finds entries that break a column's form: the form is held
+against the dictionaries, and only chunks with a broken entry there, or without a full dictionary, are read, for the
+rows that have it. ``make_up`` and ``shifts``
 compare the shares of values between consecutive loads; deliveries are repeated, so footers cannot give those
 counts, and the rows are read, reduced to one short label per column before the only shuffle.
 
@@ -16,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from terraloom.common import Scratch, name_key, trim_blanks
-from terraloom.sources.chunks import column_chunks, open_file
+from terraloom.sources.chunks import column_chunks, ends, open_file
 
 
 @dataclass(frozen=True)
@@ -62,35 +64,39 @@ class Form:
         return F.when(n.between(self.lo, self.hi), F.concat(F.lit("v:"), n.cast("string")))
 
 
-def suspicious_files(spark: SparkSession, df: DataFrame, forms: dict[str, Form]) -> dict[str, list[str]]:
-    """Files that may hold violations, by column: those with such a dictionary entry or without a full dictionary."""
-    ch = column_chunks(spark, df, list(forms))
-    value = ch.select("path", "col", F.explode_outer("candidates").alias("v"), F.col("candidates").isNull().alias("unknown"))
-    bad = reduce(lambda a, x: a | x, [(F.col("col") == c) & (f.label(F.col("v")) == "o") for c, f in forms.items()])
-    rows = value.where(F.col("unknown") | bad).groupBy("col").agg(F.collect_set("path").alias("paths")).collect()
-    found = {r["col"]: sorted(r["paths"]) for r in rows}
-    return {c: found.get(c, []) for c in forms}
+def suspects(chunks: DataFrame, forms: dict[str, Form]) -> DataFrame:
+    """(path, row_group, col, bad) of chunks that may hold violations: their broken dictionary entries, or null without a full dictionary."""
+    value = chunks.select("path", "row_group", "col", F.explode_outer("candidates").alias("v"), F.col("candidates").isNull().alias("unknown"))
+    broken = reduce(lambda a, x: a | x, [(F.col("col") == c) & (f.label(F.col("v")) == "o") for c, f in forms.items()])
+    # A set is at most as long as one dictionary page.
+    bad = F.when(~F.max("unknown"), F.collect_set("v")).alias("bad")
+    return value.where(F.col("unknown") | broken).groupBy("path", "row_group", "col").agg(bad)
 
 
 def violations(spark: SparkSession, df: DataFrame, key: str, load: str, forms: dict[str, Form]) -> DataFrame:
     """(load_id, col, row_id) of each entry that is neither missing nor admissible."""
-    suspects = suspicious_files(spark, df, forms)
-    by_files: dict[tuple[str, ...], list[str]] = {}
-    for c, paths in suspects.items():
-        if paths:
-            by_files.setdefault(tuple(paths), []).append(c)
-    parts = []
-    for paths, cols in by_files.items():
-        src = spark.read.schema(df.schema).parquet(*paths)
-        hits = F.filter(
-            F.array(*[F.when(forms[c].label(F.col(c)) == "o", F.lit(c)) for c in cols]), lambda x: x.isNotNull()
-        )
-        parts.append(
-            src.select(F.col(load).alias("load_id"), F.explode(hits).alias("col"), F.col(key).alias("row_id")).distinct()
-        )
-    if not parts:
-        return df.limit(0).select(F.col(load).alias("load_id"), F.lit("").alias("col"), F.col(key).alias("row_id"))
-    return reduce(DataFrame.unionByName, parts)
+    at = suspects(column_chunks(spark, df, list(forms)), forms)
+    one = at.groupBy("path", "row_group").agg(F.collect_list(F.struct("col", "bad")).alias("cols"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        for b in batches:
+            for r in b.to_pylist():
+                cols = {c["col"]: c["bad"] for c in r["cols"]}
+                with open_file(r["path"]) as f:
+                    t = pq.ParquetFile(f, read_dictionary=list(cols)).read_row_group(r["row_group"], columns=[*dict.fromkeys([key, load, *cols])])
+                for c, bad in cols.items():
+                    v = t.column(c)
+                    hit = t if bad is None else t.filter(pc.is_in(v, pa.array(bad, pa.string())))
+                    if hit.num_rows:
+                        texts, known = hit.column(c).cast(pa.string()), pa.array(np.full(hit.num_rows, bad is not None))
+                        parts = [hit.column(load).cast(pa.string()), pa.array([c] * hit.num_rows), hit.column(key).cast(pa.int64()), texts, known]
+                        yield from pa.table(parts, ["load_id", "col", "row_id", "v", "known"]).to_batches()
+
+    found = one.repartition("path", "row_group").mapInArrow(read, "load_id string, col string, row_id bigint, v string, known boolean")
+    label = reduce(lambda a, x: a | x, [(F.col("col") == c) & (f.label(F.col("v")) == "o") for c, f in forms.items()])
+    return found.where(F.col("known") | label).select("load_id", "col", "row_id").distinct()
 
 
 def make_up(df: DataFrame, key: str, load: str, load_no: str, forms: dict[str, Form]) -> DataFrame:
@@ -197,55 +203,39 @@ def column_profile(df: DataFrame, key: str, load_id: Column, load_no: Column, fo
 
 
 def footer_profile(spark: SparkSession, df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(col, n_rows, n_nulls, n_distinct, lo_num, hi_num, chunks, chunks_read) over all rows as stored.
+    """(col, n_rows, n_nulls, n_distinct, lo, hi, lo_num, hi_num, chunks, chunks_read) over all rows as stored.
 
-    ``n_distinct`` counts values that are not null, by their text; NaN is left out of the range. Chunks with full
-    statistics and a full dictionary are not read. Only flat columns are profiled.
+    ``n_distinct`` counts values that are not null. ``lo`` and ``hi`` are for texts, dates, times and truth values, ``lo_num`` and
+    ``hi_num`` for numbers; NaN is left out of the range. Chunks are read where a null count or an end is missing, columns
+    for their distinct values where a chunk has no full dictionary: Spark counts those, as they may be as many as rows. Only
+    flat columns are profiled.
     """
     flat = [f.name for f in df.schema if not isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType)]
     cols = [c for c in (cols or flat) if c in flat]
-    ch = column_chunks(spark, df, cols)
-    known = ch.where(F.col("has_stats") & F.col("candidates").isNotNull())
-    rest = ch.where(~(F.col("has_stats") & F.col("candidates").isNotNull()))
+    ch = Scratch(spark).keep(column_chunks(spark, df, cols))
+    sure = F.col("has_nulls") & F.col("has_ends")
+    names = ["col", "n_rows", "n_nulls", "lo", "hi", "lo_num", "hi_num", "was_read"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
         for b in batches:
             for r in b.to_pylist():
                 with open_file(r["path"]) as f:
                     data = pq.ParquetFile(f).read_row_group(r["row_group"], columns=[r["col"]]).column(0)
-                values = data.drop_null()
-                number = pa.types.is_integer(values.type) or pa.types.is_floating(values.type)
-                lo = hi = None
-                if number and len(values):
-                    real = values.filter(pc.invert(pc.is_nan(values))) if pa.types.is_floating(values.type) else values
-                    mm = pc.min_max(real)
-                    lo, hi = (None if mm[k].as_py() is None else float(mm[k].as_py()) for k in ("min", "max"))
-                distinct = pc.cast(values.unique(), pa.string()) if len(values) else pa.array([], pa.string())
-                yield pa.RecordBatch.from_pylist(
-                    [
-                        {
-                            "col": r["col"], "n_rows": r["n_rows"], "n_nulls": data.null_count, "lo_num": lo, "hi_num": hi,
-                            "candidates": distinct.to_pylist(), "was_read": 1,
-                        }
-                    ],
-                    schema=pa.schema(
-                        [("col", pa.string()), ("n_rows", pa.int64()), ("n_nulls", pa.int64()), ("lo_num", pa.float64()),
-                         ("hi_num", pa.float64()), ("candidates", pa.list_(pa.string())), ("was_read", pa.int32())]
-                    ),
-                )
-
-    part = "col string, n_rows bigint, n_nulls bigint, lo_num double, hi_num double, candidates array<string>, was_read int"
-    read = rest.select("path", "row_group", "col", "n_rows").repartition("path", "row_group", "col").mapInArrow(scan, part)
-    every = known.select("col", "n_rows", "n_nulls", "lo_num", "hi_num", "candidates", F.lit(0).alias("was_read")).unionByName(read)
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32()]
+                row = (r["col"], r["n_rows"], data.null_count, *ends(data.drop_null().combine_chunks()), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
+
+    part = "col string, n_rows bigint, n_nulls bigint, lo string, hi string, lo_num double, hi_num double, was_read int"
+    read = ch.where(~sure).select("path", "row_group", "col", "n_rows").repartition("path", "row_group", "col").mapInArrow(scan, part)
+    every = ch.where(sure).withColumn("was_read", F.lit(0)).select(*names).unionByName(read)
     facts = every.groupBy("col").agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("n_nulls").alias("n_nulls"),
-        F.min("lo_num").alias("lo_num"),
-        F.max("hi_num").alias("hi_num"),
-        F.count(F.lit(1)).alias("chunks"),
-        F.sum("was_read").alias("chunks_read"),
-    )
-    values = every.select("col", F.explode("candidates").alias("v")).distinct().groupBy("col").agg(F.count("v").alias("n_distinct"))
-    return facts.join(values, "col", "left").fillna(0, ["n_distinct"])
+        F.sum("n_rows").alias("n_rows"), F.sum("n_nulls").alias("n_nulls"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min("lo_num").alias("lo_num"), F.max("hi_num").alias("hi_num"), F.count(F.lit(1)).alias("chunks"), F.sum("was_read").alias("chunks_read"),
+    )
+    lacking = [r["col"] for r in ch.where(F.col("candidates").isNull()).select("col").distinct().collect()]  # at most one per column
+    values = ch.where(~F.col("col").isin(lacking)).select("col", F.explode("candidates").alias("v")).distinct()
+    distinct = values.groupBy("col").agg(F.count("v").alias("n_distinct"))
+    for c in lacking:
+        counted = df.select(F.col(f"`{c}`").alias("v")).where("v IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
+        distinct = distinct.unionByName(counted.select(F.lit(c).alias("col"), "n_distinct"))
+    return facts.join(distinct, "col", "left").fillna(0, ["n_distinct"])

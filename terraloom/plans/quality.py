@@ -49,7 +49,7 @@ def p2_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = ["col", "n_rows", "n_nulls", "n_distinct", "lo_num", "hi_num"]
+    cols = ["col", "n_rows", "n_nulls", "n_distinct", "lo", "hi", "lo_num", "hi_num"]
     parts = [
         footer_profile(spark, table(spark, sf_dir, t)).select(F.lit(t).alias("tab"), *cols)
         for t in ("nw_features", "match_lines", "position_error")
@@ -133,9 +133,11 @@ _FLAT = {
 
 def _footer_row(tab: str, col: str, number: bool) -> str:
     ends = [f"{f}(CAST({col} AS DOUBLE)) FILTER (WHERE NOT isnan(CAST({col} AS DOUBLE)))" if number else "CAST(NULL AS DOUBLE)" for f in ("min", "max")]
+    form = lambda f: f"strftime({f}({col}), '%Y-%m-%d %H:%M:%S.%f')" if col in ("loaded_at", "observed_at") else f"CAST({f}({col}) AS VARCHAR)"
+    texts = [f"CAST({'NULL' if number else form(f)} AS VARCHAR)" for f in ("min", "max")]
     return (
         f"SELECT '{tab}' AS tab, '{col}' AS col, count(*) AS n_rows, count(*) - count({col}) AS n_nulls, "
-        f"count(DISTINCT {col}) AS n_distinct, {ends[0]} AS lo_num, {ends[1]} AS hi_num FROM {tab}"
+        f"count(DISTINCT {col}) AS n_distinct, {texts[0]} AS lo, {texts[1]} AS hi, {ends[0]} AS lo_num, {ends[1]} AS hi_num FROM {tab}"
     )
 
 

@@ -1,8 +1,9 @@
 """What the footers and dictionary pages of parquet files say about each column chunk.
 
 One task reads the footers of a share of the files. A chunk's null count and extrema are taken where the writer
-stored them. Its distinct candidates are decoded from the dictionary page when every data page of the chunk is
-dictionary-encoded; the page headers are walked for that, the data pages themselves are skipped over.
+stored them. Its distinct candidates are decoded from the dictionary page, of texts, numbers, dates and times, when every
+data page of the chunk is dictionary-encoded; the page headers are walked for that, the data pages themselves are skipped
+over. Writers may cut the extrema of long texts short, so those of texts come from the dictionary and are unknown without one.
 """
 
 from __future__ import annotations
@@ -10,14 +11,16 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = (
     "path string, row_group int, col string, n_rows bigint, n_nulls bigint, lo string, hi string, "
-    "lo_num double, hi_num double, has_stats boolean, candidates array<string>"
+    "lo_num double, hi_num double, has_nulls boolean, has_ends boolean, candidates array<string>"
 )
 _DICTIONARY, _DATA, _DATA_V2 = 2, 0, 3
 _DICT_ENCODINGS = (2, 8)
@@ -95,13 +98,35 @@ def _page(f: pa.NativeFile, at: int) -> tuple[dict, int]:
             size *= 8
 
 
-def dictionary_candidates(f: pa.NativeFile, chunk: pq.ColumnChunkMetaData) -> list[str] | None:
-    """Values of the chunk's dictionary as text; None unless all its data pages use the dictionary."""
-    if not chunk.has_dictionary_page or chunk.physical_type != "BYTE_ARRAY":
+_NUMBERS = {"INT32": np.int32, "INT64": np.int64, "FLOAT": np.float32, "DOUBLE": np.float64}
+
+
+def _decoded(raw: bytes, n: int, kind: str, to: pa.DataType) -> pa.Array | None:
+    """The entries of a dictionary page."""
+    if kind == "BYTE_ARRAY":
+        if not (pa.types.is_string(to) or pa.types.is_large_string(to)):
+            return None
+        values, k = [], 0
+        for _ in range(n):
+            (size,) = struct.unpack_from("<I", raw, k)
+            values.append(raw[k + 4 : k + 4 + size].decode("utf-8", "replace"))
+            k += 4 + size
+        return pa.array(values, pa.string())
+    if kind not in _NUMBERS:
+        return None
+    numbers = pa.array(np.frombuffer(raw, _NUMBERS[kind], n))
+    if pa.types.is_timestamp(to) or pa.types.is_date32(to):
+        return numbers.view(to)
+    return numbers if numbers.type == to else None
+
+
+def dictionary_candidates(f: pa.NativeFile, chunk: pq.ColumnChunkMetaData, to: pa.DataType) -> pa.Array | None:
+    """Values of the chunk's dictionary; None unless all its data pages use the dictionary."""
+    if not chunk.has_dictionary_page:
         return None
-    at, end = chunk.dictionary_page_offset, 0
+    at = chunk.dictionary_page_offset
     end = at + chunk.total_compressed_size
-    values: list[str] | None = None
+    values: pa.Array | None = None
     while at < end:
         head, size = _page(f, at)
         kind = head[1]
@@ -110,11 +135,9 @@ def dictionary_candidates(f: pa.NativeFile, chunk: pq.ColumnChunkMetaData) -> li
             raw = f.read(head[3])
             if chunk.compression != "UNCOMPRESSED":
                 raw = pa.Codec(chunk.compression.lower()).decompress(raw, head[2], asbytes=True)
-            values, k = [], 0
-            for _ in range(head[7][1]):
-                (n,) = struct.unpack_from("<I", raw, k)
-                values.append(raw[k + 4 : k + 4 + n].decode("utf-8", "replace"))
-                k += 4 + n
+            values = _decoded(raw, head[7][1], chunk.physical_type, to)
+            if values is None:
+                return None
         elif kind == _DATA and head[5][2] not in _DICT_ENCODINGS:
             return None
         elif kind == _DATA_V2 and head[8][4] not in _DICT_ENCODINGS:
@@ -123,34 +146,59 @@ def dictionary_candidates(f: pa.NativeFile, chunk: pq.ColumnChunkMetaData) -> li
     return values
 
 
+def as_text(values: pa.Array) -> list[str]:
+    """One form of each value, whether it comes from a dictionary, a footer or a data page."""
+    if pa.types.is_timestamp(values.type):
+        values = pc.strftime(values.cast(pa.timestamp("us")), "%Y-%m-%d %H:%M:%S")
+    return values.cast(pa.string()).to_pylist()
+
+
+def ends(values: pa.Array) -> tuple[str | None, str | None, float | None, float | None]:
+    """(lo, hi, lo_num, hi_num): the range of texts, dates, times and truth values, or that of numbers, NaN left out."""
+    kind = values.type
+    if pa.types.is_floating(kind):
+        values = values.filter(pc.invert(pc.is_nan(values)))
+    if not len(values) or pa.types.is_nested(kind) or pa.types.is_null(kind):
+        return None, None, None, None
+    if pa.types.is_boolean(kind):
+        texts = sorted({str(v).lower() for v in values.unique().to_pylist()})
+        return texts[0], texts[-1], None, None
+    mm = pc.min_max(values)
+    if pa.types.is_integer(kind) or pa.types.is_floating(kind):
+        return None, None, float(mm["min"].as_py()), float(mm["max"].as_py())
+    lo, hi = as_text(pa.array([mm["min"].as_py(), mm["max"].as_py()], kind))
+    return lo, hi, None, None
+
+
 def chunk_facts(path: str, cols: list[str], decode: bool) -> list[tuple]:
     out = []
     with open_file(path) as f:
-        meta = pq.ParquetFile(f).metadata
+        whole = pq.ParquetFile(f)
+        meta, kinds = whole.metadata, {x.name: x.type for x in whole.schema_arrow}
         for g in range(meta.num_row_groups):
             group = meta.row_group(g)
             for c in range(group.num_columns):
                 chunk = group.column(c)
-                if chunk.path_in_schema not in cols:
+                name = chunk.path_in_schema
+                if name not in cols:
                     continue
                 s = chunk.statistics
                 has_null = s is not None and s.has_null_count
-                numeric = chunk.physical_type in ("INT32", "INT64", "FLOAT", "DOUBLE")
-                full = has_null and (s.has_min_max or s.null_count == group.num_rows)
-                lo, hi = (s.min, s.max) if full and s.has_min_max else (None, None)
-                plain = isinstance(lo, int | float) and not isinstance(lo, bool)
                 try:
-                    values = dictionary_candidates(f, chunk) if decode else None
+                    values = dictionary_candidates(f, chunk, kinds[name]) if decode else None
                 except (ValueError, KeyError, TypeError, IndexError, struct.error, OSError, pa.ArrowException):
                     values = None
-                out.append(
-                    (
-                        path, g, chunk.path_in_schema, group.num_rows, s.null_count if has_null else None,
-                        None if lo is None else str(lo), None if hi is None else str(hi),
-                        float(lo) if numeric and plain else None, float(hi) if numeric and plain else None,
-                        bool(full), values,
-                    )
-                )
+                none = has_null and s.null_count == group.num_rows
+                if none:
+                    values, found = pa.array([], kinds[name]), (None,) * 4
+                elif values is not None and len(values):
+                    found = ends(values)
+                elif s is not None and s.has_min_max and chunk.physical_type not in ("BYTE_ARRAY", "FIXED_LEN_BYTE_ARRAY"):
+                    found = ends(pa.array([s.min, s.max], kinds[name]))
+                else:
+                    found = None
+                texts = None if values is None else as_text(values)
+                out.append((path, g, name, group.num_rows, s.null_count if has_null else None, *(found or (None,) * 4), has_null, found is not None, texts))
     return out
 
 
@@ -161,9 +209,9 @@ def column_chunks(spark: SparkSession, df: DataFrame, cols: list[str], decode: b
     src = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["path", "row_group", "col", "n_rows", "n_nulls", "lo", "hi", "lo_num", "hi_num", "has_stats", "candidates"]
+        names = ["path", "row_group", "col", "n_rows", "n_nulls", "lo", "hi", "lo_num", "hi_num", "has_nulls", "has_ends", "candidates"]
         kinds = [pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(),
-                 pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.string())]
+                 pa.float64(), pa.float64(), pa.bool_(), pa.bool_(), pa.list_(pa.string())]
         for b in batches:
             for path in b.column(0).to_pylist():
                 rows = chunk_facts(path, cols, decode)

@@ -7,13 +7,14 @@ both as shares of the capacity. Examples are dealt by id into shares of about ``
 by one task, so room is lost only in the last container of each share.
 
 Defined results: a document larger than a container is cut into full pieces and a rest, each an example of its own;
-no other is cut. A full piece has a container to itself. An example over the loss limit by itself goes alone. Null
+no other is cut. A full piece has a container to itself. An example over the loss limit by itself goes alone and
+is marked. Null
 and empty texts need no room: their ``container_id`` is null. Each row is one example with its place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,9 +36,9 @@ class Capacity:
     loss: int
 
     @staticmethod
-    def usual(tokens: int) -> Capacity:
-        """A segment for every 16 tokens, and 31/32 of the tokens with loss."""
-        return Capacity(tokens, max(1, tokens // 16), tokens - tokens // 32)
+    def usual(tokens: int, tokens_a_segment: int = 16, loss_share: float = 31 / 32) -> Capacity:
+        """The limits that go with a number of tokens, where the data name none: a segment for every 16 tokens, and 31/32 of the tokens with loss."""
+        return Capacity(tokens, max(1, tokens // tokens_a_segment), int(tokens * loss_share))
 
 
 def examples(docs: DataFrame, limits: list[int], name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
@@ -104,18 +105,24 @@ def fill(tokens: np.ndarray, loss: np.ndarray, cap: Capacity) -> np.ndarray:
     return out
 
 
-def pack(docs: DataFrame, limits: list[int], name: str = "byte_bpe_50k", folder: str = TOKENIZERS, items: int = ITEMS) -> DataFrame:
-    """(limit_tokens, container_id, doc_id, piece_no, start_token, n_tokens, n_loss) of every example."""
+def pack(
+    docs: DataFrame, limits: list[int], name: str = "byte_bpe_50k", folder: str = TOKENIZERS, items: int = ITEMS, capacity: Callable[[int], Capacity] = Capacity.usual
+) -> DataFrame:
+    """(limit_tokens, container_id, doc_id, piece_no, start_token, n_tokens, n_loss, over_loss) of every example.
+
+    ``capacity`` gives all limits of a container from its tokens. ``over_loss`` marks an example that alone is over the loss limit.
+    """
+    caps = {n: capacity(n) for n in limits}
     shares = max(1, -(-docs.count() // items))
     dealt = examples(docs, limits, name, folder).withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(shares)).cast("int"))
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece_no"], ignore_index=True)
-        box = fill(rows.n_tokens.to_numpy(), rows.n_loss.to_numpy(), Capacity.usual(int(key[0])))
+        box = fill(rows.n_tokens.to_numpy(), rows.n_loss.to_numpy(), caps[int(key[0])])
         name = np.where(box < 0, None, [f"{key[0]}-{key[1]}-{k}" for k in box])
-        return pd.DataFrame({"limit_tokens": rows.limit_tokens, "container_id": name, **{c: rows[c] for c in _KEPT}})
+        return pd.DataFrame({"limit_tokens": rows.limit_tokens, "container_id": name, **{c: rows[c] for c in _KEPT}, "over_loss": rows.n_loss > caps[int(key[0])].loss})
 
-    schema = "limit_tokens int, container_id string, doc_id bigint, piece_no int, start_token int, n_tokens int, n_loss int"
+    schema = "limit_tokens int, container_id string, doc_id bigint, piece_no int, start_token int, n_tokens int, n_loss int, over_loss boolean"
     return dealt.groupBy("limit_tokens", "share").applyInPandas(run, schema)
 
 

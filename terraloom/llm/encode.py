@@ -2,11 +2,16 @@
 
 ``encode_corpus`` runs one pass over the texts, without a shuffle. In each Python worker the distinct words
 that were not met before go to an in-process DuckDB, where a recursive query contracts every word's leftmost
-pair of lowest rank until no pair is in the merge table, and an ordered aggregation gives the id lists.
-Words of more than ``LONG_WORD`` bytes (rules, rows of dots) would need as many recursion steps as they have
-pairs; they go to the library's own encoder, which gives the same ids.
+pair of lowest rank until no pair is in the merge table, and an ordered aggregation gives the id lists. For words of more
+than ``MANY_PAIRS`` bytes a step contracts all places of that pair, of places that overlap every other one: a pair made by a
+merge ranks after it, so this is what the leftmost one at a time comes to, and a row of dots takes a dozen steps however
+long it is. A word of more than ``LONG_WORD`` bytes without such repeats could still take a step for each of its pairs, all
+kept in memory; it goes to the library's own encoder, which gives the same ids.
 
-Defined results: null and empty texts give an empty list; special tokens are never formed from text.
+``decode_corpus`` goes back: token positions join the vocabulary, an ordered aggregation gives the bytes.
+
+Defined results: null and empty texts give an empty list; special tokens are never formed from text. Null and empty lists
+give an empty text; ids outside the vocabulary give nothing; bytes that are no text come as the replacement character.
 """
 
 from __future__ import annotations
@@ -26,30 +31,39 @@ from pyspark.sql import types as T
 from terraloom.llm.units import UnitEncoder
 
 TOKENIZERS = "/opt/tokenizers"
-LONG_WORD = 64
+MANY_PAIRS, LONG_WORD = 64, 2048
+MOST_CHARS = 4_000_000
 
 _STEP = """
 WITH RECURSIVE state(word, pos, tok, live) AS (
     SELECT word, pos, tok, true FROM symbols
   UNION ALL
     (WITH paired AS (
-        SELECT s.word, s.pos, s.tok,
-               lead(s.tok) OVER w AS nxt, lag(s.tok) OVER w AS prv
+        SELECT s.word, s.pos, s.tok, lead(s.tok) OVER w AS nxt{index}
         FROM state s WHERE s.live WINDOW w AS (PARTITION BY s.word ORDER BY s.pos)),
      ranked AS (
-        SELECT p.word, p.pos, p.tok, m.out_tok,
-               min(m.rank * 65536 + p.pos) OVER (PARTITION BY p.word) AS best,
-               m.rank * 65536 + p.pos AS own
+        SELECT p.*, m.out_tok, {rank} AS own, min({rank}) OVER (PARTITION BY p.word) AS best
         FROM paired p LEFT JOIN merges m ON m.l = p.tok AND m.r = p.nxt),
-     marked AS (
-        SELECT word, pos, tok, out_tok, best, own,
-               coalesce(lag(own) OVER (PARTITION BY word ORDER BY pos) = best, false) AS eaten
-        FROM ranked)
-     SELECT word, pos, CASE WHEN own = best THEN out_tok ELSE tok END AS tok, best IS NOT NULL AS live
+     taken AS ({taken}),
+     marked AS (SELECT *, coalesce(lag(hit) OVER (PARTITION BY word ORDER BY pos), false) AS eaten FROM taken)
+     SELECT word, pos, CASE WHEN hit THEN out_tok ELSE tok END AS tok, best IS NOT NULL AS live
      FROM marked WHERE NOT eaten)
 )
 SELECT word, list(tok ORDER BY pos) AS ids FROM state WHERE NOT live GROUP BY word
 """
+#: One pair a step, the leftmost of the lowest rank.
+_ONE = _STEP.format(index="", rank="m.rank * 65536 + p.pos", taken="SELECT *, coalesce(own = best, false) AS hit FROM ranked")
+#: All places of the pair of the lowest rank a step, from the left; in a run of overlapping places every other one.
+_EVERY = _STEP.format(
+    index=", row_number() OVER w AS idx", rank="m.rank",
+    taken="""SELECT *, coalesce(own = best, false) AND (idx - max(CASE WHEN own = best THEN 0 ELSE idx END)
+        OVER (PARTITION BY word ORDER BY pos ROWS UNBOUNDED PRECEDING)) % 2 = 1 AS hit FROM ranked""",
+)
+
+_TEXTS = """
+SELECT row, unhex(string_agg(spelled, '' ORDER BY pos)) AS raw
+FROM (SELECT row, unnest(ids) AS tok, generate_subscripts(ids, 1) AS pos FROM given) JOIN vocabulary USING (tok) GROUP BY row
+"""
 
 
 class DuckMerges:
@@ -99,25 +113,34 @@ class DuckMerges:
                 out[k] = self.long_word(words[k])
             else:
                 short.append(k)
-        for a in range(0, len(short), 20_000):
-            part = short[a : a + 20_000]
-            sizes = np.fromiter((len(raw[k]) for k in part), np.int64, len(part))
-            data = np.frombuffer(b"".join(raw[k] for k in part), np.uint8)
-            ends = np.cumsum(sizes)
-            symbols = pa.table(
-                {
-                    "word": np.repeat(np.array(part, np.int32), sizes),
-                    "pos": (np.arange(len(data)) - np.repeat(ends - sizes, sizes)).astype(np.int32),
-                    "tok": self.byte_ids[data],
-                }
-            )
-            self.db.register("symbols", symbols)
-            got = self.db.sql(_STEP).to_arrow_table()
-            self.db.unregister("symbols")
-            for k, ids in zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True):
-                out[k] = ids
+        few = [k for k in short if len(raw[k]) <= MANY_PAIRS]
+        many = [k for k in short if len(raw[k]) > MANY_PAIRS]
+        for words_at, step in ((few, _ONE), (many, _EVERY)):
+            upto = np.concatenate([[0], np.cumsum([len(raw[k]) for k in words_at], dtype=np.int64)])
+            a = 0
+            while a < len(words_at):  # at most 20,000 words or 400,000 bytes at once
+                z = max(a + 1, min(a + 20_000, int(np.searchsorted(upto, upto[a] + 400_000, "right")) - 1))
+                self._contract(words_at[a:z], raw, step, out)
+                a = z
         return out
 
+    def _contract(self, part: list[int], raw: list[bytes], step: str, out: list[list[int]]) -> None:
+        sizes = np.fromiter((len(raw[k]) for k in part), np.int64, len(part))
+        data = np.frombuffer(b"".join(raw[k] for k in part), np.uint8)
+        ends = np.cumsum(sizes)
+        symbols = pa.table(
+            {
+                "word": np.repeat(np.array(part, np.int32), sizes),
+                "pos": (np.arange(len(data)) - np.repeat(ends - sizes, sizes)).astype(np.int32),
+                "tok": self.byte_ids[data],
+            }
+        )
+        self.db.register("symbols", symbols)
+        got = self.db.sql(step).to_arrow_table()
+        self.db.unregister("symbols")
+        for k, ids in zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True):
+            out[k] = ids
+
 
 def byte_letters() -> dict[str, int]:
     """Letter -> byte of the byte-level spelling: printable Latin-1 stands for itself, the rest for 256 upwards."""
@@ -151,9 +174,11 @@ def worker_encoder(kind: str, folder: str, name: str, describe=None) -> UnitEnco
     return _WORKER[key]
 
 
-def chunks(batch: pa.RecordBatch, text_at: int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of at most ``most`` characters or one row, so that working arrays stay small."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+def chunks(batch: pa.RecordBatch, text_at: int, most: int = MOST_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ``most`` bytes or list entries, or of one row, so that working arrays stay small."""
+    column = batch.column(text_at)
+    size = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    lengths = pc.fill_null(size(column), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths)
     at = 0
     while at < batch.num_rows:
@@ -172,13 +197,58 @@ def encode_corpus(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_encoder("duckdb", folder, name)
         for whole in batches:
-            for b in chunks(whole, 1):
-                units, sizes = enc.numbered(b.column(1).to_pylist())
-                ids = enc.gather(units)
-                upto = np.concatenate([[0], np.cumsum(enc.counts[units])])
-                offsets = upto[np.concatenate([[0], np.cumsum(sizes)])].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column(0), lists], [id_col, "ids"])
+            # Many texts are learned from at once, as the recursion takes its steps anew for each lot of words; fewer are put together at once.
+            for lot in chunks(whole, 1, 8 * MOST_CHARS):
+                units, sizes = enc.numbered(lot.column(1).to_pylist())
+                ends, at = np.cumsum(sizes), 0
+                for b in chunks(lot, 1):
+                    to = at + b.num_rows
+                    first, some = int(ends[at - 1]) if at else 0, units[int(ends[at - 1]) if at else 0 : int(ends[to - 1])]
+                    ids = enc.gather(some)
+                    upto = np.concatenate([[0], np.cumsum(enc.counts[some])])
+                    offsets = upto[np.concatenate([[0], ends[at:to] - first])].astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+                    yield pa.RecordBatch.from_arrays([b.column(0), lists], [id_col, "ids"])
+                    at = to
 
     schema = T.StructType([src.schema[0], T.StructField("ids", T.ArrayType(T.IntegerType()))])
     return src.mapInArrow(run, schema)
+
+
+def decode_corpus(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
+    """(``id_col``, text) of every row; other columns are neither read nor kept."""
+    src = encoded.select(F.col(id_col), F.col(ids_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        db = vocabulary_db(folder, name)
+        for whole in batches:
+            for b in chunks(whole, 1, 400_000):
+                ids = b.column(1)
+                given = pa.table({"row": pa.array(range(b.num_rows), pa.int64()), "ids": ids})
+                db.register("given", given)
+                got = db.sql(_TEXTS).to_arrow_table()
+                db.unregister("given")
+                texts = [""] * b.num_rows
+                for row, raw in zip(got["row"].to_pylist(), got["raw"].to_pylist(), strict=True):
+                    texts[row] = raw.decode("utf-8", "replace")
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], [id_col, "text"])
+
+    return src.mapInArrow(run, T.StructType([src.schema[0], T.StructField("text", T.StringType())]))
+
+
+_VOCABULARY: dict[tuple, object] = {}
+
+
+def vocabulary_db(folder: str, name: str):
+    """The spelled tokens in an in-memory DuckDB, one per Python worker."""
+    if (folder, name) not in _VOCABULARY:
+        import duckdb
+
+        with open(os.path.join(folder, f"{name}.tiktoken"), "rb") as f:
+            ranks = {int(b): base64.b64decode(a).hex() for a, b in map(bytes.split, f)}
+        db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        db.register("given", pa.table({"tok": pa.array(ranks.keys(), pa.int32()), "spelled": pa.array(ranks.values())}))
+        db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
+        db.unregister("given")
+        _VOCABULARY[folder, name] = db
+    return _VOCABULARY[folder, name]

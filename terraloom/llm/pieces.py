@@ -26,6 +26,8 @@ from terraloom.llm.encode import TOKENIZERS, chunks, worker_encoder
 from terraloom.llm.units import UnitEncoder
 
 BLOCK, REACH, FILL, WORDS = 6, 10, 0.5, 12
+#: First character of the scripts that are written without blanks between words.
+UNSPACED = 0x2E80
 _LINE, _PAGE, _FEED, _SENTENCE = 1, 2, 4, 8
 #: Numbers of the words in the memory of this worker's encoder; emptied with it.
 _WORDS: dict[str, int] = {}
@@ -40,7 +42,8 @@ def describe(units: list[str]) -> np.ndarray:
     out = np.zeros(len(units), np.int64)
     for k, u in enumerate(units):
         word = "".join(filter(str.isalnum, u)).casefold()
-        term = _WORDS.setdefault(word, len(_WORDS) + 1) if len(word) > 3 else 0
+        # Short words of alphabets are mostly particles; scripts without blanks between words have none that are too short to count.
+        term = _WORDS.setdefault(word, len(_WORDS) + 1) if len(word) > 3 or (word and ord(max(word)) >= UNSPACED) else 0
         flags = _LINE * ("\n" in u) | _PAGE * (u.count("\n") > 1 or (u.isspace() and "\x0c" in u)) | _FEED * (u[0] == "\x0c")
         flags |= _SENTENCE * u.rstrip("\"')]").endswith((".", "!", "?", chr(0x3002)))
         out[k] = term << 4 | flags
@@ -138,12 +141,15 @@ class Page:
 
 
 def split_oversized(docs: DataFrame, limits: list[tuple[int, int]], name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
-    """(limit_tokens, doc_id, piece_no, start_token, n_tokens, ends_at, text) for each (limit, overlap) of ``limits``."""
+    """(limit_tokens, doc_id, piece_no, start_token, n_tokens, ends_at, start_char, text) for each (limit, overlap) of ``limits``.
+
+    ``start_char`` counts the characters before the piece.
+    """
     for limit, overlap in limits:
         if overlap < 0 or limit <= 2 * overlap:
             raise ValueError(f"an overlap of {overlap} leaves no progress in pieces of {limit}")
-    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string()]
-    names = ["limit_tokens", "doc_id", "piece_no", "start_token", "n_tokens", "ends_at", "text"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string()]
+    names = ["limit_tokens", "doc_id", "piece_no", "start_token", "n_tokens", "ends_at", "start_char", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_encoder("tiktoken", folder, name, describe)
@@ -167,12 +173,12 @@ def split_oversized(docs: DataFrame, limits: list[tuple[int, int]], name: str =
                         if page.tokens[-1] <= limit:
                             continue
                         for no, (s, e, kind) in enumerate(page.cuts(limit, overlap)):
-                            part = text[page.char_at(text, s, False, lengths) : page.char_at(text, e, True, lengths)]
-                            rows.append((limit, doc_id, no, s, e - s, kind, part))
+                            first = page.char_at(text, s, False, lengths)
+                            rows.append((limit, doc_id, no, s, e - s, kind, first, text[first : page.char_at(text, e, True, lengths)]))
                 if rows:
                     cols = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     src = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    schema = "limit_tokens int, doc_id bigint, piece_no int, start_token int, n_tokens int, ends_at string, text string"
+    schema = "limit_tokens int, doc_id bigint, piece_no int, start_token int, n_tokens int, ends_at string, start_char int, text string"
     return src.mapInArrow(run, schema)

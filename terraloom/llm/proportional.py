@@ -28,7 +28,12 @@ def _same(a: list[str], b: list[str]) -> list[tuple[str, str]]:
 
 
 class ProportionalSample:
-    """``rows``: the sample, (id, categories as the targets write them). ``report``: one row per category."""
+    """``rows``: the sample, (id, categories as the targets write them).
+
+    ``report``: one row per category with ``wanted``, ``observed``, ``drawn``, ``deficit`` and ``reached``, the share it has of the
+    sample in the measure of ``share``. Wanted counts are rounded up and minima go on top, so a sample may be larger than ``size``
+    asks; what a category falls short of is not given to others, as their shares would go off their targets.
+    """
 
     def __init__(
         self, candidates: DataFrame, targets: DataFrame, by: list[str], id_col: str, *, share: str = "target_bp",
@@ -80,5 +85,7 @@ class ProportionalSample:
             .fillna(0, ["drawn"])
             .select(*by, "wanted", "observed", "drawn", (F.col("wanted") - F.col("drawn")).alias("deficit"))
         )
+        share_of = F.col("drawn") * float(whole) / F.sum("drawn").over(Window.partitionBy(F.lit(0)))  # one row per category
+        self.report = self.report.withColumn("reached", F.bround(F.round(F.when(F.col("drawn") > 0, share_of).otherwise(0.0), 12), 4))
         self.rows = self.rows.drop(*keys)
 

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from terraloom.common import name_key, table
+from terraloom.common import Scratch, name_key, table
 from terraloom.llm.components import groups
-from terraloom.llm.containers import pack
-from terraloom.llm.encode import encode_corpus
+from terraloom.llm.containers import Capacity, pack
+from terraloom.llm.encode import decode_corpus, encode_corpus
 from terraloom.llm.pieces import split_oversized
 from terraloom.llm.proportional import ProportionalSample
 from terraloom.llm.quantiles import EPS, exact_ranks, merge_summaries, percentiles, summaries, usable
 
+#: Most sizes of containers or pieces; they go to every worker.
+MOST_LIMITS = 100
 PHIS = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
 
 
@@ -116,22 +120,66 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p7_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and digest of every text after its ids have been decoded again."""
+    back = decode_corpus(p7_ids(spark, sf_dir))
+    return back.select("doc_id", F.length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 def _limits(spark: SparkSession, sf_dir: str, purpose: str) -> list[tuple[int, int]]:
     rows = table(spark, sf_dir, "size_limits").where((F.col("purpose") == purpose) & (F.col("tokenizer") == "byte_bpe_50k"))
-    return sorted((r.limit_tokens, r.overlap_tokens or 0) for r in rows.distinct().limit(100).collect())
+    found = rows.select("limit_tokens", "overlap_tokens").distinct().limit(MOST_LIMITS + 1).collect()
+    if len(found) > MOST_LIMITS:
+        raise ValueError(f"more than {MOST_LIMITS} limits for {purpose}")
+    return sorted((r.limit_tokens, r.overlap_tokens or 0) for r in found)
 
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), [n for n, _ in _limits(spark, sf_dir, "container")])
 
 
+def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per size of container: documents, those without tokens, and what must not be: containers over a limit, documents with gaps, small documents cut."""
+    made = Scratch(spark).keep(p8_containers(spark, sf_dir).withColumn("end", F.col("start_token") + F.col("n_tokens")))
+    caps = spark.createDataFrame([(n, *dataclasses.astuple(Capacity.usual(n))) for n, _ in _limits(spark, sf_dir, "container")], "limit_tokens int, t int, s int, l int")
+    boxes = made.where("container_id IS NOT NULL").groupBy("limit_tokens", "container_id").agg(F.sum("n_tokens").alias("nt"), F.count(F.lit(1)).alias("ns"), F.sum("n_loss").alias("nl"), F.max("over_loss").alias("o"))
+    over = (F.col("nt") > F.col("t")) | (F.col("ns") > F.col("s")) | ((F.col("nl") > F.col("l")) & ~(F.col("o") & (F.col("ns") == 1)))
+    boxes = boxes.join(caps, "limit_tokens").groupBy("limit_tokens").agg(F.count_if(over).alias("n_over"))
+    docs = made.groupBy("limit_tokens", "doc_id").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n_tokens").alias("n"), F.max("end").alias("end"), F.count("container_id").alias("placed"), F.count_distinct("piece_no").alias("pieces"),
+    )
+    gap = (F.col("n") != F.col("end")) | (F.col("k") != F.col("pieces")) | ((F.col("n") > 0) & (F.col("placed") < F.col("k")))
+    docs = docs.groupBy("limit_tokens").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.count_if(F.col("n") == 0).alias("n_empty"), F.count_if(gap).alias("n_gaps"), F.count_if((F.col("k") > 1) & (F.col("n") <= F.col("limit_tokens"))).alias("n_cut")
+    )
+    return docs.join(boxes, "limit_tokens")
+
+
+def p9_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per size of piece, what must not be: texts that are not the document's there, gaps, overlaps of another size, pieces over the limit."""
+    made = p9_pieces(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("whole"))
+    asked = spark.createDataFrame(_limits(spark, sf_dir, "piece"), "limit_tokens int, overlap int")
+    there = F.expr("substring(whole, start_char + 1, length(text))") == F.col("text")
+    facts = made.join(docs, "doc_id").join(asked, "limit_tokens").select(
+        "limit_tokens", "overlap", "doc_id", "piece_no", "start_token", "n_tokens", (~there).alias("off"), (F.col("start_char") + F.length("text")).alias("z"), "start_char", F.length("whole").alias("n"), "ends_at"
+    )
+    w = Window.partitionBy("limit_tokens", "doc_id").orderBy("piece_no")  # the pieces of one document
+    facts = facts.withColumns({"before": F.lag("z").over(w), "upto": F.lag(F.col("start_token") + F.col("n_tokens")).over(w)})
+    gap = F.coalesce(F.col("start_char") > F.col("before"), F.col("start_char") != 0) | ((F.col("ends_at") == "end") & (F.col("z") != F.col("n")))
+    return facts.groupBy("limit_tokens").agg(
+        F.count_if("off").alias("n_off"), F.count_if(gap).alias("n_gaps"), F.count_if(F.col("upto") - F.col("start_token") != F.col("overlap")).alias("n_overlaps"),
+        F.count_if(F.col("n_tokens") > F.col("limit_tokens")).alias("n_over"),
+    )
+
+
 def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_oversized(table(spark, sf_dir, "documents"), _limits(spark, sf_dir, "piece"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_report, p1_sample, p5_found, p5_percentiles, p5_days, p6_found, p7_ids, p8_containers, p9_pieces)
+    for f in (p1_found, p1_report, p1_sample, p5_found, p5_percentiles, p5_days, p6_found, p7_ids, p7_round_trip, p8_containers, p8_invariants, p9_pieces, p9_invariants)
 }
 
 _KEY = "nullif(lower(trim(regexp_replace({c}, '\\s+', ' ', 'g'))), '')"
@@ -146,7 +194,12 @@ _USABLE = "{c} >= 0 AND isfinite({c})"
 SQL: dict[str, str] = {
     "p1_found": f"WITH {_STRATA} SELECT regionname, rb_type_l3 FROM goal LEFT JOIN seen USING (r, t) WHERE coalesce(observed, 0) < wanted",
     "p1_report": f"""WITH {_STRATA} SELECT regionname, rb_type_l3, wanted, coalesce(observed, 0) AS observed,
-  least(coalesce(observed, 0), wanted) AS drawn, wanted - least(coalesce(observed, 0), wanted) AS deficit FROM goal LEFT JOIN seen USING (r, t)""",
+  least(coalesce(observed, 0), wanted) AS drawn, wanted - least(coalesce(observed, 0), wanted) AS deficit,
+  round_even(round(least(coalesce(observed, 0), wanted) * 10000.0 / sum(least(coalesce(observed, 0), wanted)) OVER (), 12), 4) AS reached FROM goal LEFT JOIN seen USING (r, t)""",
+    "p7_round_trip": "SELECT doc_id, CAST(length(coalesce(text, '')) AS INTEGER) AS n_chars, md5(coalesce(text, '')) AS digest FROM documents",
+    "p8_invariants": """SELECT limit_tokens, (SELECT count(DISTINCT doc_id) FROM documents) AS n_docs, (SELECT count(DISTINCT doc_id) FROM documents WHERE coalesce(text, '') = '') AS n_empty,
+  0 AS n_gaps, 0 AS n_cut, 0 AS n_over FROM size_limits WHERE purpose = 'container' AND tokenizer = 'byte_bpe_50k' GROUP BY limit_tokens""",
+    "p9_invariants": "SELECT limit_tokens, 0 AS n_off, 0 AS n_gaps, 0 AS n_overlaps, 0 AS n_over FROM size_limits WHERE purpose = 'piece' AND tokenizer = 'byte_bpe_50k' GROUP BY limit_tokens",
     "p5_found": f"""WITH once AS (SELECT DISTINCT line_id, fid, dist_m, edgeacc_m FROM match_lines),
 far AS (SELECT fid FROM once GROUP BY fid
   HAVING quantile_cont(dist_m, 0.9) FILTER (WHERE {_USABLE.format(c="dist_m")}) > max(edgeacc_m)),

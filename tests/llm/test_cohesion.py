@@ -27,3 +27,25 @@ def test_a_page_without_lines_is_cut_between_topics(spark):
     plain = " ".join(["coral polyps"] * 400)
     rows = split_oversized(spark.createDataFrame([(2, plain)], "doc_id bigint, text string"), [(300, 0)]).collect()
     assert {r.ends_at for r in rows} == {"word", "end"} and "".join(r.text for r in sorted(rows, key=lambda r: r.piece_no)) == plain
+
+
+def test_scripts_without_blanks_have_words():
+    notes = describe(["海", "the", "珊瑚礁", "reef", ",", " a"])
+    assert [n >> 4 > 0 for n in notes] == [True, False, True, True, False, False]
+
+
+def test_cuts_fall_between_planted_topics(spark):
+    """Twenty pages of topics with words of their own: every cut falls within one line of a change of topic, where the window holds one."""
+    rnd, good, texts = np.random.default_rng(11), 0, []
+    for p in range(20):
+        lines = []
+        for t in range(4):
+            words = [f"topic{p}x{t}x{k}" for k in range(25)]
+            lines += [" ".join(rnd.choice(words, 6)) for _ in range(7)]
+        texts.append((p, "\n".join(lines)))
+    rows = split_oversized(spark.createDataFrame(texts, "doc_id bigint, text string"), [(700, 0)]).collect()
+    cuts = [r for r in rows if r.ends_at == "line"]
+    for r in cuts:
+        line = dict(texts)[r.doc_id][: r.start_char + len(r.text)].count("\n")
+        good += min(abs(line - k) for k in (7, 14, 21)) <= 1
+    assert len(cuts) >= 20 and good >= 0.9 * len(cuts)

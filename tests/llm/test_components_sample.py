@@ -55,6 +55,7 @@ def test_sample_is_exact_and_reports_deficits(spark):
     drawn = s.rows.collect()
     assert Counter(r.regionname for r in drawn) == {"Big Reef": 400, "Small": 3, "Mid": 40}
     assert len({(r.fid, r.regionname) for r in drawn}) == len(drawn)
+    assert {r.regionname: r.reached for r in s.report.collect()}["Big Reef"] == round(4_000_000 / 443, 4)
     report = {r.regionname: (r.wanted, r.observed, r.drawn, r.deficit) for r in s.report.collect()}
     assert report == {"Big Reef": (400, 5000, 400, 0), "Small": (8, 3, 3, 5), "Mid": (40, 40, 40, 0), "None here": (5, 0, 0, 5), "Odd": (1, 0, 0, 1)}
     again = ProportionalSample(cand.repartition(7), targets, ["regionname", "rb_type_l3"], "fid").rows.collect()

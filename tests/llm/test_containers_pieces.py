@@ -32,6 +32,13 @@ def test_ties_and_single_class():
     assert sorted(Counter(box).values()) == [2] * 5
 
 
+def test_capacity_is_a_parameter_and_loss_over_it_is_marked(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "- - - -"), (3, "five six")], "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in pack(docs, [8], capacity=lambda n: Capacity(n, 2, 3)).collect()}
+    assert rows[1].over_loss and not rows[2].over_loss and not rows[3].over_loss
+    assert rows[1].container_id not in (rows[2].container_id, rows[3].container_id) and rows[2].container_id == rows[3].container_id
+
+
 def test_pack_documents(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}

@@ -2,13 +2,14 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from terraloom.llm.encode import DuckMerges, encode_corpus, tiktoken_words
+from terraloom.llm.encode import DuckMerges, decode_corpus, encode_corpus, tiktoken_words
 from terraloom.llm.units import PRETOKEN, UnitEncoder, safe_parts, split_units
 
 #: Fixed value: the published pattern of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MERGES = DuckMerges()
 LIBRARY = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=MERGES.ranks, special_tokens={})
+LIBRARY_WORDS, _ = tiktoken_words()
 ODD = [
     "", " ", "  ", "\n", " \n", "\n\n\nq", "a  b", "a   b", "x \n y", "x\n  y\n", "tab\t\tx", "a b　 c", "\x0cPAGE\x0c\n", "a\x00b", "\x1c\x1d \x85x",
     "don't I'LL we're 's", "<|endoftext|> no special", "½ 1½d Ⅷ ٣", "한국어 日本語 \U0001f600\U0001f468‍\U0001f469", "-" * 500, "a" * 300, "é ſoſ",
@@ -71,3 +72,17 @@ def test_word_encoder_of_sizes_is_the_same():
     enc, _ = tiktoken_words()
     words = [w for t in ODD for w in PRETOKEN.findall(t)]
     assert MERGES.encode_words(words) == [enc.encode_ordinary(w) for w in words]
+
+
+def test_repeats_overlaps_and_long_words():
+    words = ["a" * n for n in range(2, 40)] + ["-" * 2000, ".." * 700 + "x", "aaab" * 90 + "aa", "x" * 5000, "Zq9" * 600, "日本" * 300]
+    assert MERGES.encode_words(words) == [LIBRARY_WORDS.encode_ordinary(w) for w in words]
+
+
+def test_decoding_gives_the_texts_again(spark):
+    rows = [(1, "Réef 日本語 \U0001f600 end."), (2, ""), (3, None), (None, "  two\n\n"), (1, "again")]
+    back = decode_corpus(encode_corpus(spark.createDataFrame(rows, "doc_id bigint, text string"))).collect()
+    assert [(r.doc_id, r.text) for r in back] == [(k, t or "") for k, t in rows]
+    odd = spark.createDataFrame([(1, [99999999]), (2, [255, 255]), (3, None)], "doc_id bigint, ids array<int>")
+    assert [r.text for r in decode_corpus(odd).collect()][::2] == ["", ""]
+    assert decode_corpus(odd.limit(0)).count() == 0

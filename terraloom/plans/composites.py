@@ -65,6 +65,13 @@ def crosswalk_by_dict(features: DataFrame, mapping: DataFrame, on: str, fields:
     return out.withColumns(other).drop("_known")
 
 
+def class_crosswalk(features: DataFrame, mapping: DataFrame, on: str, fields: list[str], prefix: str = "NW_") -> DataFrame:
+    """Features with a geometry, their class's attribute set and a running ``debugid`` in the order of ``fid``, from 0."""
+    there = features.where(F.col("geom").isNotNull() & ~geo("is_empty", "geom"))
+    numbered = at.sequential_id(crosswalk_by_dict(there, mapping, on, fields), [F.col("fid")], "_no", 0)
+    return numbered.withColumn("debugid", F.concat(F.lit(prefix), F.col("_no").cast("string"))).drop("_no")
+
+
 def expand_attributes(features: DataFrame, crosswalk: DataFrame, key: tuple[str, str], lists: dict[str, str], fields: list[str]) -> tuple[DataFrame, DataFrame]:
     """(matched with fields, mismatched). Depth is filled with Shallow and accuracy made whole first."""
     prepared = at.fill_blanks(features, {"depthcat": "Shallow"}).withColumn("edgeacc_m", F.coalesce(int_or_null("edgeacc_m"), F.lit(0)))
@@ -702,12 +709,14 @@ def choose_tiles(tiles: DataFrame, region: str | None = None, explicit: list[str
 
 
 def raster_catalogue(paths: DataFrame, base_depth: int = 0, most_depth: int = 3, least: int = 2) -> DataFrame:
-    """(folder, n): folders 1 to 3 levels below the base with at least two .tif files."""
+    """(folder, n, mosaic, tiles): folders 1 to 3 levels below the base with at least two .tif files, the mosaic each becomes, and its tiles in order."""
     parts = F.split("path", "/")
     folder = F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/")
     depth = F.size(parts) - 1 - base_depth
-    tifs = paths.where(F.lower("path").endswith(".tif")).select(folder.alias("folder"), depth.alias("depth"))
-    return tifs.where(F.col("depth").between(1, most_depth)).groupBy("folder").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    tifs = paths.where(F.lower("path").endswith(".tif")).select(folder.alias("folder"), depth.alias("depth"), F.element_at(parts, -1).alias("tile"))
+    per = tifs.where(F.col("depth").between(1, most_depth)).groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("tile")).alias("tiles"))
+    mosaic = F.concat(F.col("folder"), F.lit("/"), F.substring_index("folder", "/", -1), F.lit(".vrt"))
+    return per.where(F.col("n") >= least).select("folder", "n", mosaic.alias("mosaic"), "tiles")
 
 
 def project_rings(layer: DataFrame, ring: str, to: str) -> DataFrame:

@@ -60,7 +60,7 @@ def filters(spark, d):
 def fill_defaults(spark, d):
     """Columns in a given order, missing ones as null, defaults for null and blank."""
     out = at.fill_blanks(layer(spark, d, "attrs"), {"depthcat": "Shallow", "attachment": "Isolated"})
-    return out.select("fid", *at.align(out, ["depthcat", "attachment", "paleo"]).columns[:2], F.lit(None).cast("string").alias("paleo"))
+    return at.align(out, ["fid", "depthcat", "attachment", "paleo"])
 
 
 @query(f"""WITH {cte('attrs')} SELECT fid, CAST(trunc(TRY_CAST(edgeacc_m AS DOUBLE)) AS INTEGER) AS whole, TRY_CAST(edgeacc_m AS DOUBLE) AS number,
@@ -88,14 +88,16 @@ def enum_violations(spark, d):
 SELECT fid, {_even('width', 1)} AS width,
   CASE WHEN width >= 0 AND width < 100 THEN 'Very small' WHEN width < 300 THEN 'Small' WHEN width < 1000 THEN 'Medium' WHEN width < 3000 THEN 'Large' ELSE 'Very large' END AS size_class,
   CAST(trunc(50 / width * 100) AS INTEGER) AS edge_percent, x0 / 111000 AS degrees, greatest(x0 / 100, 2.5) AS clamped, x0 IS DISTINCT FROM y0 AS changed,
-  CASE WHEN y0 > 0 THEN x0 / y0 * 100 ELSE 0 END AS ratio, lpad(CAST(fid % 100 AS VARCHAR), 2, '0') AS padded, upper(cls) AS cls FROM w""")
+  CASE WHEN (x1 - x0) / 1000 > 0.01 THEN 'Large' ELSE 'Small' END AS large, width < 10 AS narrow, fid % 700 / width > 1 AS over_width, fid % 700 / width > 0.5 AS over_half, fid % 700 / width < 0.01 AS under_1_percent,
+  contains(cls, 'Reef') AS reef, CASE WHEN y0 > 0 THEN x0 / y0 * 100 ELSE 0 END AS ratio, lpad(CAST(fid % 100 AS VARCHAR), 2, '0') AS padded, upper(cls) AS cls FROM w""")
 def scalar_functions(spark, d):
-    """F2, F5, F7 to F14, P11."""
+    """F2, F3, F5, F7 to F14, P11."""
     r = layer(spark, d, "rects")
     w = fn.effective_width(box_area() * 400)
     return r.select(
         "fid", fn.half_even(w, 1).alias("width"), fn.size_class(w).alias("size_class"), fn.edge_width_percent(F.lit(50.0), w).alias("edge_percent"),
         fn.metres_to_degrees(F.col("x0")).alias("degrees"), fn.clamp_low(F.col("x0") / 100, 2.5).alias("clamped"),
+        fn.large_small((F.col("x1") - F.col("x0")) / 1000).alias("large"), *[v.alias(k) for k, v in fn.edge_checks((F.col("fid") % 700).cast("double"), w).items()], F.contains("cls", F.lit("Reef")).alias("reef"),
         fn.differs([(F.col("x0"), F.col("y0"))]).alias("changed"), fn.safe_ratio(F.col("x0"), F.col("y0")).alias("ratio"),
         F.lpad((F.col("fid") % 100).cast("string"), 2, "0").alias("padded"), F.upper("cls").alias("cls"),
     )
@@ -303,20 +305,6 @@ def edge_ratio_lognormal(spark, d):
 # Batches, sampling, catalogues
 
 
-@query("""WITH b AS (SELECT o_orderkey % 3 AS batch, o_orderkey, row_number() OVER (PARTITION BY o_orderkey % 3 ORDER BY o_orderkey) AS v FROM orders)
-SELECT batch, v + batch * 100000 AS valid_id FROM b JOIN orders USING (o_orderkey) WHERE lower(o_orderstatus) = 'f'""")
-def batch_combine(spark, d):
-    """Ids offset by batch, rows whose parent exists."""
-    from pyspark.sql.window import Window
-
-    o = table(spark, d, "orders").select((F.col("o_orderkey") % 3).alias("batch"), "o_orderkey", "o_orderstatus")
-    # The batches of this fixture are thirds of the orders; real batches are files of a few hundred rows.
-    v = F.row_number().over(Window.partitionBy("batch").orderBy("o_orderkey")).cast("bigint")
-    out = cp.combine_batches(o.withColumn("v", v), "batch", "v", 100000)
-    exists = o.where(F.lower("o_orderstatus") == "f").select("o_orderkey")
-    return out.join(exists, "o_orderkey", "left_semi").select("batch", "valid_id")
-
-
 @query("""WITH n AS (SELECT n_nationkey, count(*) AS t FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
 SELECT n_nationkey AS region, CAST(unnest(range(0, CAST(ceil(t / 10.0) AS BIGINT))) AS INTEGER) AS batch, unnest(list_transform(range(0, CAST(ceil(t / 10.0) AS BIGINT)), lambda i: least(10, t - i * 10))) AS n FROM n""")
 def stratified_batches(spark, d):
@@ -335,8 +323,8 @@ def tile_selection(spark, d):
 
 
 @query("""WITH p AS (SELECT 'base' || CASE WHEN p_partkey % 5 > 0 THEN '/a' || CAST(p_partkey % 5 AS VARCHAR) ELSE '' END || CASE WHEN p_partkey % 7 > 3 THEN '/b/c/d' ELSE '/b' END AS folder,
-  CASE WHEN p_partkey % 2 = 0 THEN 'tif' ELSE 'txt' END AS ext FROM part), k AS (SELECT folder, len(string_split(folder, '/')) - 1 AS depth FROM p WHERE ext = 'tif')
-SELECT folder, count(*) AS n FROM k WHERE depth BETWEEN 1 AND 3 GROUP BY folder HAVING count(*) >= 2""")
+  CASE WHEN p_partkey % 2 = 0 THEN 'tif' ELSE 'txt' END AS ext, p_partkey FROM part), k AS (SELECT folder, p_partkey || '.tif' AS tile, len(string_split(folder, '/')) - 1 AS depth FROM p WHERE ext = 'tif')
+SELECT folder, count(*) AS n, folder || '/' || string_split(folder, '/')[-1] || '.vrt' AS mosaic, list(tile ORDER BY tile) AS tiles FROM k WHERE depth BETWEEN 1 AND 3 GROUP BY folder HAVING count(*) >= 2""")
 def raster_catalog(spark, d):
     """S13."""
     k = F.col("p_partkey")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terraloom.plans import polygons, quality, reference
+from terraloom.plans import polygons, quality, reference, storage
 
-MODULES = (quality, reference, polygons)
+MODULES = (quality, reference, polygons, storage)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 for _m in MODULES:

@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 TEMPLATE = "fid bigint, geom binary, x0 double, y0 double, x1 double, y1 double"
 
@@ -45,6 +44,8 @@ def read_layer(spark: SparkSession, path: str, window: tuple[float, float, float
 
 def write_layer(df: DataFrame, path: str, if_exists: str = "error") -> None:
     """``if_exists``: error, ignore (keep what is there) or overwrite."""
+    if locked(path):
+        raise BlockingIOError(f"{path} is locked")
     df.write.mode({"error": "errorifexists"}.get(if_exists, if_exists)).parquet(path)
 
 
@@ -60,13 +61,39 @@ def write_table_csv(df: DataFrame, path: str) -> None:
 
 
 def read_batches(spark: SparkSession, pattern: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """All files of a pattern with ``batch``, the position of the file in name order. Files are listed, not rows."""
-    df = spark.read.format(fmt).options(**options).load(pattern).withColumn("_file", F.input_file_name())
-    names = df.select("_file").distinct()
-    order = names.withColumn("batch", (F.dense_rank().over(Window.orderBy("_file")) - 1).cast("int"))  # one row per file
+    """All files of a pattern with ``batch``, the position of the file in name order. Files are listed, not rows.
+
+    Files without rows have a position too, where Spark lists them; those of shapefiles count as the reader lists them.
+    """
+    if fmt == "shapefile":
+        from terraloom.sources.shapefile import list_files
+
+        df = spark.read.format(fmt).options(**options, source="true").load(pattern).withColumnRenamed("source_file", "_file")
+        names = list_files(pattern)
+    else:
+        df = spark.read.format(fmt).options(**options).load(pattern)
+        names = sorted(df.inputFiles())
+        df = df.withColumn("_file", F.input_file_name())
+    order = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "_file string, batch int")
     return df.join(order, "_file").drop("_file")
 
 
+def require_same_crs(*layers: DataFrame) -> None:
+    """Raises unless all layers with rows have one ``srid``; a layer without one is in no system."""
+    found = set()
+    for df in layers:
+        found |= {r.srid for r in df.select("srid").distinct().limit(5).collect()}
+    if len(found) > 1 or None in found:
+        raise ValueError(f"coordinate systems differ or are unknown: {sorted(map(str, found))}")
+
+
+def locked(path: str) -> bool:
+    """Something else is writing to a local or shared folder: its lock file is there. Object stores have no locks and need none."""
+    import os
+
+    return os.path.exists(path.removeprefix("file://").rstrip("/") + ".lock")
+
+
 def empty_templates(spark: SparkSession, paths: list[str], schema: str = TEMPLATE) -> None:
     """Empty layers, unless they are there already."""
     for path in paths:

@@ -4,14 +4,19 @@ Reading gives the attribute columns, ``geom`` as WKB and the box x0, y0, x1, y1;
 schema comes from the .dbf header. Writing makes one set of .shp, .shx, .dbf and .prj per partition; the WKB may
 hold points, lines, polygons and their collections, one kind per partition. Z and M values are dropped.
 
-Defined results: null shapes and null geometries are null both ways; numbers that don't parse are null; column
-names are cut to ten characters on writing; an empty partition writes nothing.
+The options ``source`` and ``crs`` add a column ``source_file`` with the path of the row's file and ``srid`` with the code of its
+.prj, null where it is missing or unknown.
+
+Defined results: null shapes and null geometries are null both ways; numbers that don't parse are null; an empty partition
+writes nothing. Column names are cut to ten characters on writing, as the format has no longer ones; names that are then
+equal raise, and so do texts of more than 254 bytes and numbers that don't fit their field: nothing is cut silently.
 """
 
 from __future__ import annotations
 
 import glob
 import os
+import re
 import struct
 from collections.abc import Iterator
 
@@ -106,23 +111,51 @@ def _value(kind: str, digits: int, raw: bytes, encoding: str):
     return text
 
 
-def _files(path: str) -> list[str]:
+def list_files(path: str) -> list[str]:
     at = path.removeprefix("file://")
     if os.path.isdir(at):
         return sorted(glob.glob(os.path.join(at, "*.shp")))
     return sorted(glob.glob(at))
 
 
+#: Names of coordinate systems in .prj texts, in their usual spellings, and their codes.
+CRS_NAMES = {
+    "gcs_gda_1994": 4283, "gda94": 4283, "gcs_wgs_1984": 4326, "wgs 84": 4326, "wgs_1984_web_mercator_auxiliary_sphere": 3857, "wgs 84 / pseudo-mercator": 3857,
+    "gda_1994_geoscience_australia_lambert": 3112, "gda94 / geoscience australia lambert": 3112, "gda94_geoscience_australia_lambert": 3112, "gcs_north_american_1983": 4269,
+    "international terrestrial reference frame 2005": 4368, "gda2020": 7844, "gcs_gda2020": 7844,
+}
+
+
+def srid_of(prj: str) -> int | None:
+    """Code of the outermost coordinate system of a .prj text: that of its own authority entry, else of its name."""
+    text = prj.strip()
+    if not text:
+        return None
+    if code := re.search(r'AUTHORITY\["EPSG",\s*"?(\d+)"?\]\s*\]\s*$', text, re.I):
+        return int(code[1])
+    name = re.match(r'\w+\["([^"]*)"', text)
+    return CRS_NAMES.get(name[1].lower()) if name else None
+
+
+def _srid(shp: str) -> int | None:
+    at = shp[:-4] + ".prj"
+    if not os.path.exists(at):
+        return None
+    with open(at, encoding="utf-8", errors="replace") as f:
+        return srid_of(f.read())
+
+
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, encoding: str):
-        self.path, self.encoding = path, encoding
+    def __init__(self, path: str, encoding: str, source: bool, crs: bool):
+        self.path, self.encoding, self.source, self.crs = path, encoding, source, crs
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in _files(self.path)]
+        return [InputPartition(p) for p in list_files(self.path)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         stem = partition.value[:-4]
         _, size, width, fields = _fields(stem + ".dbf")
+        more = (*([partition.value] if self.source else []), *([_srid(partition.value)] if self.crs else []))
         with open(partition.value, "rb") as shp, open(stem + ".dbf", "rb") as dbf:
             shp.seek(100)
             dbf.seek(size)
@@ -133,7 +166,7 @@ class _Reader(DataSourceReader):
                     values.append(_value(kind, digits, row[at : at + n], self.encoding))
                     at += n
                 if row[:1] != b"*":
-                    yield (*values, geom, *box)
+                    yield (*values, geom, *box, *more)
 
 
 def _parse(wkb: bytes) -> tuple[int, list[Ring]]:
@@ -181,6 +214,8 @@ class _Writer(DataSourceWriter):
         os.makedirs(self.path, exist_ok=True)
         stem = os.path.join(self.path, f"part-{TaskContext.get().partitionId():05d}")
         names = [f.name for f in self.schema if f.name not in ("geom", *BOX)]
+        if len({n[:10] for n in names}) < len(names):
+            raise ValueError(f"column names are equal in their first ten characters: {names}")
         kinds = {f.name: f.dataType for f in self.schema}
         shapes, records, kind = [], [], 0
         for r in rows:
@@ -251,7 +286,12 @@ class _Writer(DataSourceWriter):
             if kind == "L":
                 return b"T" if v else b"F"
             text = (f"{v:.{digits}f}" if digits else str(v)).encode()
-            return text[:size].rjust(size) if kind == "N" else text[:size].ljust(size)
+            while kind == "N" and digits and len(text) > size and digits > 1:  # large numbers have fewer digits after the point
+                digits -= 1
+                text = f"{v:.{digits}f}".encode()
+            if len(text) > size:
+                raise ValueError(f"{v!r} doesn't fit a field of {size} bytes")
+            return text.rjust(size) if kind == "N" else text.ljust(size)
 
         width = 1 + sum(s[2] for s in specs)
         with open(stem + ".dbf", "wb") as f:
@@ -270,16 +310,21 @@ class ShapefileSource(DataSource):
         return "shapefile"
 
     def schema(self) -> StructType:
-        files = _files(self.options["path"])
+        files = list_files(self.options["path"])
         if not files:
             raise FileNotFoundError(self.options["path"])
         *_, fields = _fields(files[0][:-4] + ".dbf")
         kind = {"N": LongType(), "F": DoubleType(), "L": BooleanType()}
         out = [StructField(n, DoubleType() if k in "NF" and d else kind.get(k, StringType())) for n, k, _, d in fields]
-        return StructType([*out, StructField("geom", BinaryType()), *[StructField(c, DoubleType()) for c in BOX]])
+        out += [StructField("geom", BinaryType()), *[StructField(c, DoubleType()) for c in BOX]]
+        out += [StructField("source_file", StringType())] if self._on("source") else []
+        return StructType([*out, *([StructField("srid", LongType())] if self._on("crs") else [])])
+
+    def _on(self, option: str) -> bool:
+        return self.options.get(option, "false").lower() == "true"
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self.options["path"], self.options.get("encoding", "utf-8"))
+        return _Reader(self.options["path"], self.options.get("encoding", "utf-8"), self._on("source"), self._on("crs"))
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
         return _Writer(self.options["path"], schema, overwrite, self.options.get("prj", ""))

@@ -74,3 +74,56 @@ def test_fetch_tiles_and_config(spark):
         cp.choose_tiles(tiles)
     cfg = layers.Config.from_ini("[general]\nversion = v2\n[paths]\nout = work/{version}/x\n")
     assert cfg.path("out") == "work/v2/x"
+
+
+def test_nothing_is_cut_on_writing(spark, tmp_path):
+    ensure(spark)
+    register(spark)
+    point = geo("from_text", F.lit("POINT (1 2)"))
+    for k, (v, kind) in enumerate([("x" * 255, "string"), (10**19, "decimal(20,0)"), (1e30, "double")]):
+        df = spark.createDataFrame([(v,)], f"v {kind}") if kind != "decimal(20,0)" else spark.range(1).select(F.lit(10**18 - 1 + 10**18).cast("bigint").alias("v"))
+        with pytest.raises(Exception, match="fit a field"):
+            df.withColumn("geom", point).coalesce(1).write.format("shapefile").mode("append").save(str(tmp_path / f"a{k}"))
+    two = spark.createDataFrame([(1, 2)], "same_start_a int, same_start_b int").withColumn("geom", point)
+    with pytest.raises(Exception, match="ten characters"):
+        two.coalesce(1).write.format("shapefile").mode("append").save(str(tmp_path / "b"))
+    big = spark.createDataFrame([(123456789012.5,)], "v double").withColumn("geom", point)
+    big.coalesce(1).write.format("shapefile").mode("append").save(str(tmp_path / "c"))
+    assert spark.read.format("shapefile").load(str(tmp_path / "c")).first().v == 123456789012.5
+
+
+def test_batches_of_shapefiles_are_numbered(spark, tmp_path):
+    ensure(spark)
+    register(spark)
+    for k in ("b-02", "b-01", "b-03"):
+        df = spark.createDataFrame([(int(k[-1]),)], "ValidID int").withColumn("geom", geo("from_text", F.lit("POINT (1 2)")))
+        df.coalesce(1).write.format("shapefile").mode("append").save(str(tmp_path / k))
+    got = layers.read_batches(spark, str(tmp_path / "b-??" / "*.shp"), "shapefile").collect()
+    assert sorted((r.ValidID, r.batch) for r in got) == [(1, 0), (2, 1), (3, 2)]
+
+
+def test_coordinate_systems(spark, tmp_path):
+    from terraloom.plans.storage import GDA94
+    from terraloom.sources.shapefile import srid_of
+
+    assert srid_of(GDA94) == 4283 and srid_of("") is None and srid_of('LOCAL["x"]') is None
+    assert srid_of('GEOGCS["WGS 84",DATUM["x",AUTHORITY["EPSG","6326"]],AUTHORITY["EPSG","4326"]]') == 4326
+    a, b = (spark.createDataFrame([(n,)], "srid int") for n in (4283, 4326))
+    layers.require_same_crs(a, a, a.limit(0))
+    for bad in ((a, b), (a, a.withColumn("srid", F.lit(None).cast("int")))):
+        with pytest.raises(ValueError, match="coordinate systems"):
+            layers.require_same_crs(*bad)
+    (tmp_path / "t.lock").write_text("")
+    with pytest.raises(BlockingIOError):
+        layers.write_layer(a, str(tmp_path / "t"))
+
+
+def test_a_feature_without_a_row_stops_the_expansion(spark):
+    ensure(spark)
+    f = spark.createDataFrame([(1, "A", "Land", "Deep", "3"), (2, "B", "Land", "Deep", "x")], "fid int, cls string, attachment string, depthcat string, edgeacc_m string")
+    f = f.withColumn("geom", geo("from_text", F.lit("POLYGON ((120 -20, 121 -20, 121 -21, 120 -21, 120 -20))")))
+    rules = spark.createDataFrame([(1, "A", "Land", "Deep;Shallow", "q")], "row_no int, key string, att string, dep string, so string")
+    with pytest.raises(ValueError, match="without a crosswalk row"):
+        cp.expand_strict(f, rules, ("cls", "key"), {"attachment": "att", "depthcat": "dep"}, ["so"])
+    got = cp.expand_strict(f.where("fid = 1"), rules, ("cls", "key"), {"attachment": "att", "depthcat": "dep"}, ["so"]).first()
+    assert got.so == "q" and 11_000 < got.area_km2 < 12_000

@@ -124,10 +124,14 @@ _OPS: dict[str, tuple[str, str, str]] = {
         " if (o.isEmpty()) return null; org.locationtech.jts.geom.Point c = o.getCentroid();"
         " return org.apache.spark.sql.RowFactory.create(new Object[]{Double.valueOf(o.getArea()), Double.valueOf(c.getX()), Double.valueOf(c.getY())});",
     ),
+    # Parts on the rim of the cut that have fewer dimensions than the geometry are left out; the box is grown, so they lie outside b's.
     "cut_to_box": (
         "gg", "binary",
-        "return b.getEnvelopeInternal().contains(a.getEnvelopeInternal()) ? out(a) :"
-        " out(over(a, a.getFactory().toGeometry(b.getEnvelopeInternal()), org.locationtech.jts.operation.overlayng.OverlayNG.INTERSECTION));",
+        "org.locationtech.jts.geom.Envelope e = new org.locationtech.jts.geom.Envelope(b.getEnvelopeInternal()); e.expandBy(0.01 * (e.getWidth() + e.getHeight()) + 1e-9);"
+        " if (e.contains(a.getEnvelopeInternal())) return out(a);"
+        " Geometry o = over(a, a.getFactory().toGeometry(e), org.locationtech.jts.operation.overlayng.OverlayNG.INTERSECTION);"
+        " if (a.getDimension() == 2) return out(a.getFactory().buildGeometry(org.locationtech.jts.geom.util.PolygonExtracter.getPolygons(o)));"
+        " if (a.getDimension() == 1) return out(a.getFactory().buildGeometry(org.locationtech.jts.geom.util.LineStringExtracter.getLines(o))); return out(o);",
     ),
     "intersects": ("gg", "boolean", "return Boolean.valueOf(a.intersects(b));"),
     "touches": ("gg", "boolean", "return Boolean.valueOf(a.touches(b));"),

@@ -213,3 +213,14 @@ def test_edge_sampling_by_hand(spark):
     near, far = near.collect(), far.collect()
     assert {r.fid for r in near + far} == {1} and 0 < len(near) < 6 and near[0].part == 0
     assert len(near) + len(far) == 5 and all(r.dist_m <= 9 for r in near) and all(r.dist_m is None for r in far)
+
+
+def test_masks_that_touch_the_box_of_a_feature(spark):
+    """One mask overlaps, one only touches the feature's box along a line, one at a corner: what is gathered stays polygonal."""
+    ensure(spark)
+    square = lambda x0, y0, x1, y1: f"POLYGON (({x0} {y0}, {x1} {y0}, {x1} {y1}, {x0} {y1}, {x0} {y0}))"
+    make = lambda rows: with_bounds(spark.createDataFrame(rows, "fid bigint, wkt string").withColumn("geom", geo("from_text", "wkt")))
+    f = make([(1, square(0, 0, 10, 10))])
+    m = make([(1, square(8, 8, 20, 20)), (2, square(10, 0, 30, 5)), (3, square(-5, -5, 0, 0)), (4, "MULTIPOLYGON (((-9 4, 1 4, 1 5, -9 5, -9 4)), ((2 10, 3 10, 3 12, 2 12, 2 10)))")])
+    assert one(cp.difference(f, m, 4.0), geo("area", "geom")) == 95.0
+    assert one(cp.clip(f, m, 4.0), geo("area", "geom")) == 5.0

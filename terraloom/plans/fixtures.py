@@ -173,9 +173,10 @@ def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def outlines(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A layer of outlines with its geometry."""
+    """A layer of outlines with its geometry, dealt to all cores: its source is one small file, what is done with it is not small."""
     ensure(spark)
-    return layer(spark, sf_dir, name).withColumn("geom", geo("from_text", "wkt")).drop("wkt")
+    dealt = layer(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism, "fid")
+    return dealt.withColumn("geom", geo("from_text", "wkt")).drop("wkt")
 
 
 def cte(*names: str) -> str:

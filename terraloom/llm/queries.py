@@ -156,21 +156,27 @@ def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per size of piece, what must not be: texts that are not the document's there, gaps, overlaps of another size, pieces over the limit."""
-    made = p9_pieces(spark, sf_dir)
+    """Per size of piece, what must not be: texts that are not the document's there, gaps, overlaps of another size, pieces over the limit.
+
+    Texts are held against each other by digest, so the text of a document is moved once and that of a piece never.
+    """
+    cols = ["limit_tokens", "doc_id", "piece_no", "start_token", "n_tokens", "ends_at", "start_char"]
+    made = Scratch(spark).keep(p9_pieces(spark, sf_dir).select(*cols, F.length("text").alias("n"), F.md5(F.col("text").cast("binary")).alias("digest")))
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("whole"))
     asked = spark.createDataFrame(_limits(spark, sf_dir, "piece"), "limit_tokens int, overlap int")
-    there = F.expr("substring(whole, start_char + 1, length(text))") == F.col("text")
-    facts = made.join(docs, "doc_id").join(asked, "limit_tokens").select(
-        "limit_tokens", "overlap", "doc_id", "piece_no", "start_token", "n_tokens", (~there).alias("off"), (F.col("start_char") + F.length("text")).alias("z"), "start_char", F.length("whole").alias("n"), "ends_at"
-    )
     w = Window.partitionBy("limit_tokens", "doc_id").orderBy("piece_no")  # the pieces of one document
+    facts = made.withColumn("z", F.col("start_char") + F.col("n")).join(docs.select("doc_id", F.length("whole").alias("size")), "doc_id").join(asked, "limit_tokens")
     facts = facts.withColumns({"before": F.lag("z").over(w), "upto": F.lag(F.col("start_token") + F.col("n_tokens")).over(w)})
-    gap = F.coalesce(F.col("start_char") > F.col("before"), F.col("start_char") != 0) | ((F.col("ends_at") == "end") & (F.col("z") != F.col("n")))
-    return facts.groupBy("limit_tokens").agg(
-        F.count_if("off").alias("n_off"), F.count_if(gap).alias("n_gaps"), F.count_if(F.col("upto") - F.col("start_token") != F.col("overlap")).alias("n_overlaps"),
+    gap = F.coalesce(F.col("start_char") > F.col("before"), F.col("start_char") != 0) | ((F.col("ends_at") == "end") & (F.col("z") != F.col("size")))
+    counted = facts.groupBy("limit_tokens").agg(
+        F.count_if(gap).alias("n_gaps"), F.count_if(F.col("upto") - F.col("start_token") != F.col("overlap")).alias("n_overlaps"),
         F.count_if(F.col("n_tokens") > F.col("limit_tokens")).alias("n_over"),
     )
+    places = made.groupBy("doc_id").agg(F.collect_list(F.struct("limit_tokens", "start_char", "n", "digest")).alias("at"))  # of one document
+    there = docs.join(places, "doc_id").select("whole", F.explode("at").alias("p"))
+    same = F.md5(F.expr("substring(whole, p.start_char + 1, p.n)").cast("binary")) == F.col("p.digest")
+    off = there.groupBy("p.limit_tokens").agg(F.count_if(~same).alias("n_off"))
+    return counted.join(off, "limit_tokens")
 
 
 def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

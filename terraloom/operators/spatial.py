@@ -14,10 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from terraloom.common import Scratch
 from terraloom.functions.kernel import geo
 from terraloom.functions.scalar import point_on_segment
+from terraloom.operators.graph import connected_components
 
 BOX = ("x0", "y0", "x1", "y1")
+#: Features of a cell that are put together in one call; beyond it, the cell is dealt to several.
+BATCH = 4096
 
 
 def _cells(df: DataFrame, cell: float, grow: float = 0.0) -> DataFrame:
@@ -122,11 +126,37 @@ def first_come(pairs: DataFrame, a: str, b: str, order: list[Column]) -> DataFra
     return ranked.where(F.col("_ra") == F.col("_rb")).drop("_ra", "_rb")
 
 
+def contact_components(layer: DataFrame, cell: float, within: float = 0.0, by: tuple[str, ...] = ()) -> DataFrame:
+    """(fid, component): features linked by contact, or by a distance of at most ``within``, and of equal ``by``; the smallest ``fid`` reachable.
+
+    The features of a cell are put together in one call, in which a pair that is linked already is not looked at again, so pairs never
+    leave the call. What remains to be linked are the groups that share a feature, a few for each cell. A cell of more than ``BATCH`` features is cut into
+    slices, and every two slices are a call.
+    """
+    at = [*by, "_cx", "_cy"]
+    spread = _cells(layer.select("fid", *by, "geom", *BOX), cell, within).select("fid", "geom", *at)
+    crowded = spread.groupBy(*at).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > BATCH).select(*at, F.ceil(F.col("_n") / BATCH).alias("_s"))
+    dealt = spread.join(crowded, at, "left").withColumn("_s", F.coalesce("_s", F.lit(1))).withColumn("_h", F.pmod(F.xxhash64("fid"), F.col("_s")))
+    dealt = dealt.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
+    called = dealt.groupBy(*at, F.least("_h", "_t").alias("_i"), F.greatest("_h", "_t").alias("_j")).agg(F.sort_array(F.collect_list(F.struct("fid", "geom"))).alias("_m"))
+    ids, roots = F.col("_m.fid"), geo("roots", F.col("_m.geom"), float(within))
+    grouped = F.zip_with(ids, F.transform(roots, lambda r: F.get(ids, r)), lambda u, w: F.struct(u.alias("fid"), w.alias("root")))
+    found = called.select(F.explode(grouped).alias("_l")).groupBy("_l.fid").agg(F.sort_array(F.collect_set("_l.root")).alias("_r"))
+    found = Scratch(layer.sparkSession).keep(found)
+    first = F.get("_r", F.lit(0))
+    links = found.where(F.size("_r") > 1).select(first.alias("a"), F.explode("_r").alias("b"))
+    comps = connected_components(links, "a", "b").select(F.col("v").alias("_f"), "component")
+    placed = found.select("fid", first.alias("_f")).join(comps, "_f", "left").select("fid", F.coalesce("component", "_f").alias("component"))
+    return layer.select("fid").where(F.col("fid").isNotNull()).distinct().join(placed, "fid", "left").select("fid", F.coalesce("component", "fid").alias("component"))
+
+
 def dissolve(df: DataFrame, by: list[str], cell: float, geom: str = "geom") -> DataFrame:
-    """Union per group in two levels: within grid cells, then over the cells, so no task unites everything at once."""
-    spot = [F.floor(geo("x0", geom) / cell).alias("_cx"), F.floor(geo("y0", geom) / cell).alias("_cy")]
-    part = df.groupBy(*by, *spot).agg(geo("union_all", F.collect_list(geom)).alias(geom))
-    return part.groupBy(*by).agg(geo("union_all", F.collect_list(geom)).alias(geom))
+    """Union per group in three levels: within small cells, within grid cells, then over the cells, so no task unites everything at once."""
+    out = df.select(*by, geom)
+    for size in (cell / 8, cell):
+        spot = [F.floor(geo(k, geom) / size).alias(f"_c{k}") for k in ("x0", "y0")]
+        out = out.groupBy(*by, *spot).agg(geo("union_all", F.collect_list(geom)).alias(geom)).select(*by, geom)
+    return out.groupBy(*by).agg(geo("union_all", F.collect_list(geom)).alias(geom))
 
 
 def subdivide(df: DataFrame, cell: float, geom: str = "geom") -> DataFrame:

@@ -21,7 +21,7 @@ from terraloom.functions.scalar import (
 from terraloom.operators import attributes as at
 from terraloom.operators.graph import connected_components, greedy_match
 from terraloom.operators.spatial import (
-    box_distance, box_pairs, dissolve, exact, first_come, nearest, spatial_join,
+    box_distance, box_pairs, contact_components, dissolve, exact, first_come, nearest, spatial_join,
 )
 
 #: Fixed values of the domain.
@@ -98,12 +98,12 @@ def same_class_components(layer: DataFrame, cell: float, within: float = 0.0) ->
 
     With a geometry column the outlines decide; boxes are the candidates only.
     """
-    cols = ["fid", "cls", "x0", "y0", "x1", "y1", *(["geom"] if "geom" in layer.columns else [])]
+    if "geom" in layer.columns:
+        return contact_components(layer, cell, within, ("cls",))
+    cols = ["fid", "cls", "x0", "y0", "x1", "y1"]
     touch = box_pairs(layer.select(*cols), layer.select(*cols), cell, within)
     touch = touch.where((F.col("l_cls") == F.col("r_cls")) & (F.col("l_fid") < F.col("r_fid")))
-    if "geom" in cols:
-        touch = touch.where(geo("is_near", "l_geom", "r_geom", float(within)))
-    elif within > 0:
+    if within > 0:
         touch = touch.where(box_distance() <= within)
     return connected_components(touch.select("l_fid", "r_fid"), "l_fid", "r_fid", layer, "fid")
 

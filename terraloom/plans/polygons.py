@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraloom.common import table
+from terraloom.common import Scratch, table
 from terraloom.functions import scalar as fn
 from terraloom.functions.kernel import geo, with_bounds
 from terraloom.operators import attributes as at
@@ -300,8 +300,9 @@ e AS (SELECT fid, CAST(fid % 97 AS DOUBLE) AS edge, count(*) / 2.0 AS a FROM h G
 SELECT comp AS fid, max(edge) AS edgeacc_m, CAST(sum(a) AS DOUBLE) AS area, count(*) AS n, CAST(any_value(u) AS DOUBLE) AS united FROM e JOIN comp USING (fid) JOIN u USING (comp) GROUP BY comp""")
 def dissolve_all(spark, d):
     """One dissolve over all classes with the largest accuracy, the summed area and the united outline; groups keep a left join of their statistics."""
-    r = outlines(spark, d, "shapes").withColumn("cls", F.lit("all"))
-    m = r.withColumn("edge", (F.col("fid") % 97).cast("double")).join(cp.same_class_components(r, CELL), "fid")
+    keep = Scratch(spark).keep  # each is read several times
+    r = keep(outlines(spark, d, "shapes").withColumn("cls", F.lit("all")))
+    m = keep(r.withColumn("edge", (F.col("fid") % 97).cast("double")).join(cp.same_class_components(r, CELL), "fid"))
     union = dissolve(m, ["component"], CELL * 8).select("component", _area("united"))
     facts = m.groupBy("component").agg(F.max("edge").alias("edgeacc_m"), F.round(F.sum(geo("area", "geom")), 6).alias("area"), F.count(F.lit(1)).alias("n"))
     return union.join(facts, "component", "left").withColumnRenamed("component", "fid")

@@ -56,6 +56,44 @@ def exact(predicate: str, geom: str = "geom") -> Column:
     return geo(predicate, f"l_{geom}", f"r_{geom}")
 
 
+def pair(measure: str) -> Column:
+    """A kernel measure over the pair of outlines whose ``plain`` says how it may be taken."""
+    return geo(measure, "l_geom", "r_geom", "l_plain", "r_plain")
+
+
+def equal_boxes(left: DataFrame, right: DataFrame, tolerance: float) -> DataFrame:
+    """Pairs whose boxes are equal within ``tolerance`` in each number; columns become l_* and r_*.
+
+    The numbers go to steps of a thousand tolerances with multiples of them in the middle, so most rows have one place and meet only their equals.
+    """
+    step = tolerance * 1000
+    at = lambda c, d: F.floor((F.col(c) + d) / step + 0.5).cast("bigint")
+    ll = left.where(F.col("x0").isNotNull())
+    for c in BOX:
+        ll = ll.withColumn(f"_{c}", F.explode(F.sequence(at(c, -tolerance), at(c, tolerance))))
+    ll = ll.select(*[F.col(c).alias(f"l_{c}") for c in left.columns], *[f"_{c}" for c in BOX])
+    rr = right.where(F.col("x0").isNotNull()).select(*[F.col(c).alias(f"r_{c}") for c in right.columns], *[at(c, 0.0).alias(f"_{c}") for c in BOX])
+    return ll.join(rr, [f"_{c}" for c in BOX]).drop(*[f"_{c}" for c in BOX])
+
+
+def cell_masks(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
+    """Each left row (l_fid, l_geom) with the united right geometries (r_geom) around each of its cells, by dimension.
+
+    The right side is united once for each cell instead of once for each left row. Of a larger geometry what lies within a cell
+    around the cell is taken.
+    """
+    num = lambda c: c.cast("string")
+    lo, hi = lambda c: num((F.col(c) - 0.5) * cell), lambda c: num((F.col(c) + 1.5) * cell)
+    line = F.concat(F.lit("LINESTRING ("), lo("_cx"), F.lit(" "), lo("_cy"), F.lit(", "), hi("_cx"), F.lit(" "), hi("_cy"), F.lit(")"))
+    fits = (F.col("x0") >= (F.col("_cx") - 1) * cell) & (F.col("x1") <= (F.col("_cx") + 2) * cell) & (F.col("y0") >= (F.col("_cy") - 1) * cell) & (F.col("y1") <= (F.col("_cy") + 2) * cell)
+    ll = _cells(left.select("fid", "geom", *BOX), cell).select(F.col("fid").alias("l_fid"), F.col("geom").alias("l_geom"), "_cx", "_cy")
+    parts = _cells(right.select("geom", *BOX), cell).withColumn("g", F.when(fits, F.col("geom")).otherwise(geo("cut_to_box", "geom", geo("from_text", line))))
+    parts = parts.select("_cx", "_cy", "g", geo("dimension", "g").alias("_d"), F.pmod(F.xxhash64("g"), F.lit(16)).alias("_s"))
+    for by in (["_cx", "_cy", "_d", "_s"], ["_cx", "_cy", "_d"]):
+        parts = parts.groupBy(*by).agg(geo("union_all", F.collect_list("g")).alias("g"))
+    return ll.join(parts.select("_cx", "_cy", F.col("g").alias("r_geom")), ["_cx", "_cy"]).drop("_cx", "_cy")
+
+
 def spatial_join(
     left: DataFrame, right: DataFrame, cell: float, on: Column | None = None, how: str = "inner", key: str = "fid", within: float = 0.0
 ) -> DataFrame:

@@ -21,7 +21,7 @@ from terraloom.functions.scalar import (
 from terraloom.operators import attributes as at
 from terraloom.operators.graph import connected_components, greedy_match
 from terraloom.operators.spatial import (
-    box_distance, box_pairs, contact_components, dissolve, exact, first_come, nearest, spatial_join,
+    box_distance, box_pairs, cell_masks, common_area, contact_components, dissolve, equal_boxes, exact, first_come, nearest, pair, spatial_join,
 )
 
 #: Fixed values of the domain.
@@ -228,9 +228,10 @@ def uncharted(features: DataFrame, region: DataFrame, area: DataFrame, cell: flo
 
 def overlap_report(layer: DataFrame, cell: float, least: float = OVERLAP_REPORTS) -> DataFrame:
     """Unordered pairs with an overlap of more than ``least``, contact alone not counted; with its centroid and area."""
-    cols = ["fid", "cls", "geom", "x0", "y0", "x1", "y1"]
-    pairs = box_pairs(layer.select(*cols), layer.select(*cols), cell).where(F.col("l_fid") < F.col("r_fid"))
-    pairs = pairs.withColumn("_o", geo("overlap", "l_geom", "r_geom")).where(F.col("_o.area") > least)
+    cols = ["fid", "cls", "geom", "plain", "x0", "y0", "x1", "y1"]
+    layer = Scratch(layer.sparkSession).keep(layer.withColumn("plain", geo("plain", "geom")).select(*cols))  # read for both sides
+    pairs = box_pairs(layer, layer, cell).where(F.col("l_fid") < F.col("r_fid"))
+    pairs = pairs.withColumn("_o", pair("shared")).where(F.col("_o.area") > least)
     return pairs.select(
         F.col("l_fid").alias("feature_1"), F.col("r_fid").alias("feature_2"), F.col("_o.area").alias("area"), F.col("_o.x").alias("x"),
         F.col("_o.y").alias("y"), pair_key(F.col("l_cls"), F.col("r_cls")).alias("types"),

@@ -9,6 +9,7 @@ from terraloom.functions.kernel import ensure, geo, with_bounds
 from terraloom.operators import spatial
 from terraloom.operators.graph import connected_components
 from terraloom.operators.spatial import box_pairs, exact
+from terraloom.plans import composites as cp
 
 
 @pytest.fixture(scope="module")
@@ -38,3 +39,14 @@ def test_components_of_a_crowded_cell(spark, stacked, monkeypatch, within, batch
     want = {tuple(r) for r in connected_components(pairs, "l_fid", "r_fid", stacked, "fid").collect()}
     got = {tuple(r) for r in spatial.contact_components(stacked, 16.0, within, ("cls",)).collect()}
     assert got == want and 4 < len({c for _, c in got}) < 60
+
+
+def test_what_pairs_share_equals_the_overlay(spark, stacked):
+    valid = stacked.where("fid <> 1000")
+    got = {(r.feature_1, r.feature_2): (r.area, r.x, r.y) for r in cp.overlap_report(valid, 16.0).collect()}
+    pairs = box_pairs(valid, valid, 16.0).where("l_fid < r_fid").withColumn("o", geo("overlap", "l_geom", "r_geom")).where("o.area > 1e-4")
+    want = {(r.l_fid, r.r_fid): tuple(r.o) for r in pairs.select("l_fid", "r_fid", "o").collect()}
+    assert got.keys() == want.keys() and len(want) > 3000
+    assert all(got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9) for k in want)
+    plain = {r.fid: r.p for r in stacked.select("fid", geo("plain", "geom").alias("p")).collect()}
+    assert plain[1000] == 0 and plain[1002] == 0 and plain[1003] is None and {plain[0], plain[1]} == {1, 2}

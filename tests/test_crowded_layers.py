@@ -50,3 +50,14 @@ def test_what_pairs_share_equals_the_overlay(spark, stacked):
     assert all(got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9) for k in want)
     plain = {r.fid: r.p for r in stacked.select("fid", geo("plain", "geom").alias("p")).collect()}
     assert plain[1000] == 0 and plain[1002] == 0 and plain[1003] is None and {plain[0], plain[1]} == {1, 2}
+
+
+def test_type_pairs_without_the_overlay(spark, stacked, monkeypatch):
+    """Counts and areas by classes come from the measured pairs; the plan has no overlay of each pair."""
+    out = cp.overlap_report(stacked.where("fid < 1000"), 16.0).groupBy("types").agg(F.count(F.lit(1)).alias("n"), F.sum("area").alias("area"))
+    assert "geo_overlap" not in out._jdf.queryExecution().toString()
+    pairs = box_pairs(stacked, stacked, 16.0).where("l_fid < r_fid AND l_fid < 1000 AND r_fid < 1000").withColumn("a", geo("area", geo("intersection", "l_geom", "r_geom"))).where("a > 1e-4")
+    want = pairs.groupBy(F.concat_ws(" | ", F.least("l_cls", "r_cls"), F.greatest("l_cls", "r_cls")).alias("types")).agg(F.count(F.lit(1)).alias("n"), F.sum("a").alias("area"))
+    want = {r.types: (r.n, r.area) for r in want.collect()}
+    got = {r.types: (r.n, r.area) for r in out.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)

@@ -16,7 +16,7 @@ from terraloom.common import Scratch, table
 from terraloom.functions import scalar as fn
 from terraloom.functions.kernel import geo, with_bounds
 from terraloom.operators import attributes as at
-from terraloom.operators.spatial import dissolve, exact, nearest, spatial_join, subdivide
+from terraloom.operators.spatial import dissolve, exact, nearest, pair, spatial_join, subdivide
 from terraloom.plans import composites as cp
 from terraloom.plans.fixtures import cte, holds, layer, outlines
 from terraloom.plans.reference import _even, _ranked, _set
@@ -136,9 +136,11 @@ SELECT lf, rf, c.lf IS NOT NULL AS intersects, area IS NULL AS touches, coalesce
 FROM contact c LEFT JOIN common USING (lf, rf) JOIN size a ON a.fid = lf JOIN size b ON b.fid = rf""")
 def pair_predicates(spark, d):
     """The four predicates over all pairs that meet."""
-    s = outlines(spark, d, "shapes").select("fid", "geom", "x0", "y0", "x1", "y1")
-    p = spatial_join(s, s, CELL, on=(F.col("l_fid") < F.col("r_fid")) & exact("intersects"))
-    return p.select(F.col("l_fid").alias("lf"), F.col("r_fid").alias("rf"), *[exact(k).alias(k) for k in ("intersects", "touches", "contains", "within")])
+    s = outlines(spark, d, "shapes").select("fid", "geom", geo("plain", "geom").alias("plain"), "x0", "y0", "x1", "y1")
+    s = Scratch(spark).keep(s)  # read for both sides
+    p = spatial_join(s, s, CELL, on=F.col("l_fid") < F.col("r_fid")).select("l_fid", "r_fid", pair("relation").alias("_r")).where("_r > 0")
+    kinds = {"intersects": 1, "touches": 2, "contains": 4, "within": 8}
+    return p.select(F.col("l_fid").alias("lf"), F.col("r_fid").alias("rf"), *[(F.col("_r").bitwiseAND(F.lit(k)) > 0).alias(c) for c, k in kinds.items()])
 
 
 @query(f"""WITH {cte('rects', 'zones')}, c AS (SELECT fid, (x0 + x1) / 2 AS x, (y0 + y1) / 2 AS y FROM rects)

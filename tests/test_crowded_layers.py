@@ -61,3 +61,10 @@ def test_type_pairs_without_the_overlay(spark, stacked, monkeypatch):
     want = {r.types: (r.n, r.area) for r in want.collect()}
     got = {r.types: (r.n, r.area) for r in out.collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-9) for k in want)
+
+
+def test_relation_equals_the_four_predicates(spark, stacked):
+    p = box_pairs(stacked.withColumn("plain", geo("plain", "geom")), stacked.withColumn("plain", geo("plain", "geom")), 16.0)
+    four = [exact(k).cast("int") * v for k, v in {"intersects": 1, "touches": 2, "contains": 4, "within": 8}.items()]
+    rows = p.select(spatial.pair("relation").alias("got"), sum(four[1:], four[0]).alias("want")).groupBy("got", "want").count().collect()
+    assert all(r.got == r.want for r in rows) and {1, 3, 5, 9, 13} <= {r.got for r in rows}

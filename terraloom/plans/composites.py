@@ -253,8 +253,7 @@ def priority_overlaps(targets: DataFrame, overlays: DataFrame, cell: float, leas
 
 def difference(features: DataFrame, minus: DataFrame, cell: float, polygons: bool = True) -> DataFrame:
     """Each feature minus the union of the ``minus`` features it meets; emptied features go, others stay as they are."""
-    hits = box_pairs(features.select("fid", "geom", "x0", "y0", "x1", "y1"), minus.select("fid", "geom", "x0", "y0", "x1", "y1"), cell)
-    hits = hits.where(exact("intersects"))
+    hits = cell_masks(features, minus, cell).where(exact("intersects"))
     # Only what lies in the feature's own box is gathered, however large the other side's geometries are.
     cut = hits.select(F.col("l_fid").alias("fid"), geo("cut_to_box", "r_geom", "l_geom").alias("g")).groupBy("fid").agg(geo("union_all", F.collect_list("g")).alias("_cut"))
     out = features.join(cut, "fid", "left")

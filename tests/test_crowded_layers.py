@@ -68,3 +68,14 @@ def test_relation_equals_the_four_predicates(spark, stacked):
     four = [exact(k).cast("int") * v for k, v in {"intersects": 1, "touches": 2, "contains": 4, "within": 8}.items()]
     rows = p.select(spatial.pair("relation").alias("got"), sum(four[1:], four[0]).alias("want")).groupBy("got", "want").count().collect()
     assert all(r.got == r.want for r in rows) and {1, 3, 5, 9, 13} <= {r.got for r in rows}
+
+
+def test_difference_unites_once_for_a_cell(spark, stacked):
+    f, m = stacked.where("fid % 2 = 0 AND fid < 1000"), stacked.where("fid % 4 = 1 AND fid < 1000")
+    assert spatial.cell_masks(f, m, 64.0).count() < box_pairs(f, m, 64.0).count() / 2
+    whole = m.agg(geo("union_all", F.collect_list("geom")).alias("_m"))
+    want = {r.fid: r.a for r in f.crossJoin(whole).select("fid", geo("area", geo("difference", "geom", "_m")).alias("a")).collect() if r.a > 1e-9}
+    got = {r.fid: r.a for r in cp.difference(f, m, 16.0).select("fid", geo("area", "geom").alias("a")).collect()}
+    assert {k for k, a in got.items() if a > 1e-9} == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    far = stacked.where("fid = 1001")
+    assert cp.difference(far, m, 16.0).select("geom").first().geom == far.select("geom").first().geom

@@ -329,10 +329,8 @@ def correct_mask(mask: DataFrame, corrections: DataFrame, cell: float) -> DataFr
     base = polygonal(mask.select("geom", "x0", "y0", "x1", "y1").unionByName(add))
     keep = Scratch(mask.sparkSession).keep  # each is read several times
     base = keep(base.withColumn("fid", F.xxhash64("geom")).dropDuplicates(["fid"]))
-    touch = box_pairs(base.select("fid", "geom", "x0", "y0", "x1", "y1"), base.select("fid", "geom", "x0", "y0", "x1", "y1"), cell)
-    touch = touch.where((F.col("l_fid") < F.col("r_fid")) & exact("intersects"))
-    comps = connected_components(touch, "l_fid", "r_fid", base, "fid")
-    joined = base.join(comps, "fid").groupBy(F.col("component").alias("fid")).agg(geo("union_all", F.collect_list("geom")).alias("geom"))
+    comps = contact_components(base, cell)
+    joined = dissolve(base.join(comps, "fid"), ["component"], cell * 8).withColumnRenamed("component", "fid")
     remove = polygonal(corrections.where(F.col("operation") == "Remove").select("geom", "x0", "y0", "x1", "y1")).withColumn("fid", F.xxhash64("geom"))
     parts = single_parts(difference(keep(with_bounds(joined)), remove, cell)).where(geo("is_valid", "geom"))
     return parts.join(template, how="left") if template.columns else parts

@@ -79,3 +79,13 @@ def test_difference_unites_once_for_a_cell(spark, stacked):
     assert {k for k, a in got.items() if a > 1e-9} == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
     far = stacked.where("fid = 1001")
     assert cp.difference(far, m, 16.0).select("geom").first().geom == far.select("geom").first().geom
+
+
+def test_mask_is_united_by_cell(spark, stacked, monkeypatch):
+    seen = []
+    monkeypatch.setattr(cp, "box_pairs", lambda *a, **k: seen.append(a) or box_pairs(*a, **k))
+    mask = stacked.where("fid < 1000")
+    none = stacked.limit(0).withColumn("operation", F.lit("Add"))
+    got = cp.correct_mask(mask, none, 16.0).agg(F.sum(geo("area", "geom"))).first()[0]
+    assert got == pytest.approx(mask.agg(geo("area", geo("union_all", F.collect_list("geom")))).first()[0], rel=1e-9)
+    assert not seen

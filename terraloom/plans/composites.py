@@ -401,16 +401,22 @@ def version_diff(old: DataFrame, new: DataFrame, cell: float, iou_least: float =
 
     Outlines are equal if their vertices are, in order and within 1e-9; the overlap is that of the outlines.
     """
-    slim = lambda df: df.select("fid", "geom", "x0", "y0", "x1", "y1")
-    near = box_pairs(slim(new), slim(old), cell).where(exact("intersects"))
-    common = F.coalesce(geo("overlap", "l_geom", "r_geom")["area"], F.lit(0.0))
-    near = near.select("l_fid", "r_fid", geo("equals_exact", "l_geom", "r_geom", 1e-9).alias("same"), common.alias("common"), (geo("area", "l_geom") + geo("area", "r_geom")).alias("_sum"))
-    near = near.withColumn("iou", F.when(F.col("_sum") > F.col("common"), F.round(F.col("common") / (F.col("_sum") - F.col("common")), 12)).otherwise(0.0))
-    near = Scratch(new.sparkSession).keep(near.select("l_fid", "r_fid", "same", "iou"))  # read four times, and the outlines are compared once
-    eq = first_come(near.where("same").select(F.col("l_fid").alias("new_fid"), F.col("r_fid").alias("old_fid")), "new_fid", "old_fid", [F.col("new_fid"), F.col("old_fid")])
-    scored = near.where(F.col("iou") >= iou_least).select(F.col("l_fid").alias("new_fid"), F.col("r_fid").alias("old_fid"), "iou")
-    scored = scored.join(eq.select("new_fid"), "new_fid", "left_anti").join(eq.select("old_fid"), "old_fid", "left_anti")
-    better = greedy_match(scored, "new_fid", "old_fid", "iou").select("new_fid", "old_fid")
+    keep = Scratch(new.sparkSession).keep  # each is read several times
+    slim = lambda df: keep(df.select("fid", "geom", "x0", "y0", "x1", "y1").withColumns({"plain": geo("plain", "geom"), "a": geo("area", "geom")}))
+    left = lambda df, done, fid: df.join(done.select(F.col(fid).alias("fid")), "fid", "left_anti")
+    ids = [F.col("l_fid").alias("new_fid"), F.col("r_fid").alias("old_fid")]
+    new_s, old_s = slim(new), slim(old)
+    same = equal_boxes(new_s, old_s, 1e-9).where(geo("equals_exact", "l_geom", "r_geom", 1e-9) & exact("intersects")).select(*ids)
+    eq = keep(first_come(same, "new_fid", "old_fid", [F.col("new_fid"), F.col("old_fid")]))
+    # Only what has no equal is compared by overlap, and only where the boxes leave room for enough of it.
+    new_s, old_s = keep(left(new_s, eq, "new_fid")), keep(left(old_s, eq, "old_fid"))
+    total, box = F.col("l_a") + F.col("r_a"), common_area()
+    room = F.least("l_a", "r_a", box) * (1 + 1e-9) * (1 + iou_least) >= total * iou_least
+    scored = box_pairs(new_s, old_s, cell).where(room).withColumn("_c", pair("shared_area")).withColumn("_sum", total)
+    scored = scored if iou_least > 0 else scored.where(pair("relation") > 0)
+    iou = F.when(F.col("_sum") > F.col("_c"), F.round(F.col("_c") / (F.col("_sum") - F.col("_c")), 12)).otherwise(0.0)
+    scored = scored.select(*ids, iou.alias("iou")).where(F.col("iou") >= iou_least)
+    better = keep(greedy_match(scored, "new_fid", "old_fid", "iou").select("new_fid", "old_fid"))
     pairs = eq.withColumn("change", F.lit("unchanged")).unionByName(better.withColumn("change", F.lit("improved")))
     o = old.select(F.col("fid").alias("old_fid"), *[F.col(c).alias(f"_o_{c}") for c in compared])
     n = new.select(F.col("fid").alias("new_fid"), *[F.col(c).alias(f"_n_{c}") for c in compared])
@@ -418,7 +424,7 @@ def version_diff(old: DataFrame, new: DataFrame, cell: float, iou_least: float =
     flagged = pairs.join(o, "old_fid").join(n, "new_fid").select("change", "new_fid", "old_fid", flag.alias("attr_chg"))
     rest_new = new.select(F.col("fid").alias("new_fid")).join(pairs.select("new_fid"), "new_fid", "left_anti")
     rest_old = old.select(F.col("fid").alias("old_fid")).join(pairs.select("old_fid"), "old_fid", "left_anti")
-    met = near.select(F.col("l_fid").alias("new_fid"), F.col("r_fid").alias("old_fid")).join(rest_new, "new_fid", "left_semi").join(rest_old, "old_fid", "left_semi")
+    met = keep(box_pairs(left(new_s, better, "new_fid"), left(old_s, better, "old_fid"), cell).where(pair("relation") > 0).select(*ids))
     seen_new, seen_old = met.select("new_fid").distinct(), met.select("old_fid").distinct()
     null = F.lit(None)
     wide = lambda df, change: df.select(

@@ -89,3 +89,12 @@ def test_mask_is_united_by_cell(spark, stacked, monkeypatch):
     got = cp.correct_mask(mask, none, 16.0).agg(F.sum(geo("area", "geom"))).first()[0]
     assert got == pytest.approx(mask.agg(geo("area", geo("union_all", F.collect_list("geom")))).first()[0], rel=1e-9)
     assert not seen
+
+
+def test_equal_outlines_are_found_by_their_boxes(spark, stacked):
+    moved = with_bounds(stacked.select((F.col("fid") + 5000).alias("fid"), geo("moved", "geom", F.when(F.col("fid") % 3 == 0, 5e-10).when(F.col("fid") % 3 == 1, -2e-9).otherwise(0.0), F.lit(0.0)).alias("geom")))
+    equal = geo("equals_exact", "l_geom", "r_geom", 1e-9)
+    want = {tuple(r) for r in box_pairs(moved, stacked, 16.0).where(equal).select("l_fid", "r_fid").collect()}
+    found = spatial.equal_boxes(moved, stacked, 1e-9)
+    got = {tuple(r) for r in found.where(equal & exact("intersects")).select("l_fid", "r_fid").collect()}
+    assert got == want and len(got) > 150 and found.count() < 3 * len(got)

@@ -579,9 +579,10 @@ def dithered_dissolve(layer: DataFrame, cell: float, **draw) -> DataFrame:
     """
     moved = dithered(layer, **draw).withColumn("geom", geo("buffer", "geom", F.col("buffer_m")))
     parts = single_parts(moved.where(~geo("is_empty", "geom"))).select("cls", "buffer_m", "geom", "x0", "y0", "x1", "y1", F.xxhash64("fid", "geom").alias("fid"))
-    parts = Scratch(layer.sparkSession).keep(parts)
+    keep = Scratch(layer.sparkSession).keep  # each is read twice
+    parts = keep(parts)
     group = parts.withColumnRenamed("cls", "_cls").withColumn("cls", F.lit(""))
-    member = parts.join(same_class_components(group, cell), "fid")
+    member = keep(parts.join(same_class_components(group, cell), "fid"))
     facts = member.groupBy("component").agg(largest_shift(member, "fid", "buffer_m").alias("buffer_m"), F.count(F.lit(1)).alias("n_parts"), at.joined_set("cls").alias("classes"))
     out = facts.join(dissolve(member, ["component"], cell * 8), "component").withColumnRenamed("component", "fid")
     return out.withColumn("area", geo("area", "geom"))

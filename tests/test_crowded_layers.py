@@ -98,3 +98,11 @@ def test_equal_outlines_are_found_by_their_boxes(spark, stacked):
     found = spatial.equal_boxes(moved, stacked, 1e-9)
     got = {tuple(r) for r in found.where(equal & exact("intersects")).select("l_fid", "r_fid").collect()}
     assert got == want and len(got) > 150 and found.count() < 3 * len(got)
+
+
+def test_dithered_outlines_make_no_pairs(spark, stacked, monkeypatch):
+    monkeypatch.setattr(cp, "box_pairs", lambda *a, **k: pytest.fail("pairs"))
+    layer = stacked.where("fid < 60").withColumn("edgeacc_m", F.lit(1.0))
+    moved = cp.dithered(layer).select(geo("buffer", "geom", F.col("buffer_m")).alias("geom"))
+    want = moved.agg(geo("area", geo("union_all", F.collect_list("geom")))).first()[0]
+    assert cp.dithered_dissolve(layer, 16.0).agg(F.sum("area")).first()[0] == pytest.approx(want, rel=1e-6)

@@ -31,7 +31,7 @@ def _each(change: str) -> str:
     )
 
 
-#: name -> (argument kinds, result type, Java statement). g: geometry, d: double, a: array of geometries, b: bytes as they are.
+#: name -> (argument kinds, result type, Java statement). g: geometry, d: double, a: array of geometries, b: bytes as they are, r: array of rows.
 _OPS: dict[str, tuple[str, str, str]] = {
     "area": ("g", "double", "return Double.valueOf(a.getArea());"),
     "length": ("g", "double", "return Double.valueOf(a.getLength());"),
@@ -164,6 +164,9 @@ _OPS: dict[str, tuple[str, str, str]] = {
         " Geometry g = in(a); Geometry h = in(b); if (!g.intersects(h)) return Double.valueOf(0);"
         " return Double.valueOf(over(g, h, org.locationtech.jts.operation.overlayng.OverlayNG.INTERSECTION).getArea());",
     ),
+    # Counts of pairs with a shared area of more than c and the sum of these areas, by the places of two members with the classes. Members (x0, y0, fid, x1, y1,
+    # class, geometry, plain, starts, slice) come by x0; starts is 1 if x0 is in the cell, plus 2 if y0 is. If b is 1, pairs of one slice don't count.
+    "totals": ("rdd", "array<struct<a: int, b: int, n: bigint, area: double>>", "return scala.jdk.javaapi.CollectionConverters.asScala(totals(a, b == 1, c)).toSeq();"),
     # 1 intersects, 2 touches, 4 contains, 8 within, added up. What a measured area leaves open is asked of the exact predicates.
     "relation": (
         "bbdd", "int",
@@ -199,10 +202,131 @@ _OPS: dict[str, tuple[str, str, str]] = {
 _JAVA = {"double": "DoubleType", "string": "StringType", "boolean": "BooleanType", "binary": "BinaryType", "int": "IntegerType"}
 
 
+#: Java that only the function of that name needs.
+_OWN = {
+    "totals": """  static org.apache.spark.sql.Row[] rows(Object s) {
+    return (org.apache.spark.sql.Row[]) scala.jdk.javaapi.CollectionConverters.asJava((scala.collection.Seq) s).toArray(new org.apache.spark.sql.Row[0]);
+  }
+  /** Edges that are not upright as low x, high x, y at the low x, slope and direction from place 6 on; before them their end, the end of all edges and the box. */
+  static double[] spans(double[] e) {
+    int n = (int) e[0];
+    int k = 6;
+    double[] s = new double[6 + n / 4 * 5];
+    s[1] = n; s[2] = e[1]; s[3] = e[2]; s[4] = e[1]; s[5] = e[2];
+    for (int i = 1; i < n; i += 4) {
+      s[2] = Math.min(s[2], e[i]); s[3] = Math.min(s[3], e[i + 1]); s[4] = Math.max(s[4], e[i]); s[5] = Math.max(s[5], e[i + 1]);
+      if (e[i] == e[i + 2]) continue;
+      boolean back = e[i + 2] < e[i];
+      s[k] = back ? e[i + 2] : e[i]; s[k + 1] = back ? e[i] : e[i + 2]; s[k + 2] = back ? e[i + 3] : e[i + 1];
+      s[k + 3] = (e[i + 3] - e[i + 1]) / (e[i + 2] - e[i]); s[k + 4] = back ? 1 : -1; k += 5;
+    }
+    s[0] = k;
+    return s;
+  }
+  /** The area of common, without the centroid, over spans. */
+  static double lap(double[] s, double[] t) {
+    int n = (int) s[0]; int m = (int) t[0];
+    double oy = Math.min(s[3], t[3]); double two = 0;
+    for (int i = 6; i < n; i += 5) {
+      double lo = s[i]; double hi = s[i + 1]; double y = s[i + 2] - oy; double k = s[i + 3]; double part = 0;
+      for (int j = 6; j < m; j += 5) {
+        double from = t[j]; double u = lo > from ? lo : from; double v = hi < t[j + 1] ? hi : t[j + 1];
+        if (u >= v) continue;
+        double z = t[j + 2] - oy; double l = t[j + 3];
+        double p = y + k * (u - lo); double q = y + k * (v - lo); double r = z + l * (u - from); double x = z + l * (v - from);
+        double g = p - r; double h = q - x; double w = v - u;
+        if ((g < 0 && h > 0) || (g > 0 && h < 0)) {
+          double d = g * w / (g - h); double c = p + (q - p) * d / w;
+          part += t[j + 4] * (d * (c + (g < 0 ? p : r)) + (w - d) * (c + (h < 0 ? q : x)));
+        } else part += t[j + 4] * w * ((g < 0 ? p : r) + (h < 0 ? q : x));
+      }
+      two += s[i + 4] * part;
+    }
+    return two / 2;
+  }
+  /** The area of shared for outlines i and j; those that were read for an overlay are kept in read. */
+  static double lap(int i, int j, double[][] spans, int[] plain, byte[][] w, Geometry[] read) throws Exception {
+    double[] s = spans[i]; double[] t = spans[j];
+    if (s != null && t != null && s[1] * t[1] <= 65536) {
+      double area = lap(s, t);
+      if (plain[i] == 2 && plain[j] == 2) return area;
+      if (area > 1e-9 * (Math.max(s[4], t[4]) - Math.min(s[2], t[2])) * (Math.max(s[5], t[5]) - Math.min(s[3], t[3]))) return area;
+    }
+    if (read[i] == null) read[i] = in(w[i]);
+    if (read[j] == null) read[j] = in(w[j]);
+    return read[i].intersects(read[j]) ? over(read[i], read[j], org.locationtech.jts.operation.overlayng.OverlayNG.INTERSECTION).getArea() : 0;
+  }
+  /** Equal outlines are measured as one, with the number of their members by class; not where an id is repeated, as a feature is no pair with itself. */
+  static java.util.List totals(org.apache.spark.sql.Row[] rows, boolean cross, double least) throws Exception {
+    int size = rows.length; int n = 0; int[] start = new int[size]; int[] slice = new int[size]; int[] plain = new int[size];
+    double[] x0 = new double[size]; double[] y0 = new double[size]; double[] x1 = new double[size]; double[] y1 = new double[size];
+    byte[][] w = new byte[size][]; double[][] spans = new double[size][]; Geometry[] read = new Geometry[size]; Object[] fid = new Object[size];
+    int[][] cls = new int[size][]; long[][] many = new long[size][]; int[] place = new int[size];
+    java.util.HashSet fids = new java.util.HashSet();
+    for (int i = 0; i < size; i++) fids.add(rows[i].get(2));
+    boolean once = fids.size() == size;
+    java.util.HashMap known = new java.util.HashMap(); java.util.HashMap named = new java.util.HashMap();
+    for (int i = 0; i < size; i++) {
+      org.apache.spark.sql.Row r = rows[i];
+      if (r.isNullAt(6) || r.isNullAt(7)) continue;
+      Integer c = (Integer) named.get(r.get(5));
+      if (c == null) { c = Integer.valueOf(named.size()); place[c.intValue()] = i; named.put(r.get(5), c); }
+      x0[n] = r.getDouble(0); y0[n] = r.getDouble(1); x1[n] = r.getDouble(3); y1[n] = r.getDouble(4);
+      w[n] = (byte[]) r.get(6); plain[n] = r.getInt(7); start[n] = r.getInt(8); slice[n] = r.getInt(9);
+      java.nio.ByteBuffer key = java.nio.ByteBuffer.wrap(w[n]);
+      Integer had = once ? (Integer) known.get(key) : null;
+      int k = had == null ? n : had.intValue();
+      if (k < n && (x0[k] != x0[n] || y0[k] != y0[n] || x1[k] != x1[n] || y1[k] != y1[n] || slice[k] != slice[n])) k = n;
+      if (k == n) {
+        if (plain[n] > 0) spans[n] = spans(edges(w[n]));
+        fid[n] = r.get(2); cls[n] = new int[0]; many[n] = new long[0]; known.put(key, Integer.valueOf(n)); n++;
+      }
+      int p = 0;
+      while (p < cls[k].length && cls[k][p] != c.intValue()) p++;
+      if (p == cls[k].length) { cls[k] = java.util.Arrays.copyOf(cls[k], p + 1); many[k] = java.util.Arrays.copyOf(many[k], p + 1); cls[k][p] = c.intValue(); }
+      many[k][p]++;
+    }
+    int kinds = named.size(); long[] count = new long[kinds]; double[] area = new double[kinds]; int[] met = new int[kinds];
+    java.util.HashMap sums = new java.util.HashMap();
+    for (int i = 0; i < n; i++) {
+      int m = 0;
+      for (int j = i + 1; j < n && x0[j] <= x1[i]; j++) {
+        if ((start[i] | start[j]) != 3 || y0[j] > y1[i] || y0[i] > y1[j] || (cross && slice[i] == slice[j]) || (!once && fid[i].equals(fid[j]))) continue;
+        double s = lap(i, j, spans, plain, w, read);
+        if (!(s > least)) continue;
+        for (int p = 0; p < cls[j].length; p++) { int c = cls[j][p]; if (count[c] == 0) met[m++] = c; count[c] += many[j][p]; area[c] += many[j][p] * s; }
+      }
+      for (int p = 0; p < cls[i].length; p++) for (int q = 0; q < m; q++) add(sums, cls[i][p], met[q], many[i][p] * count[met[q]], many[i][p] * area[met[q]]);
+      for (int q = 0; q < m; q++) { count[met[q]] = 0; area[met[q]] = 0; }
+      if (cross || start[i] != 3 || (cls[i].length == 1 && many[i][0] == 1)) continue;
+      double s = lap(i, i, spans, plain, w, read);
+      if (s > least) for (int p = 0; p < cls[i].length; p++) for (int q = p; q < cls[i].length; q++) {
+        long k = q == p ? many[i][p] * (many[i][p] - 1) / 2 : many[i][p] * many[i][q];
+        if (k > 0) add(sums, cls[i][p], cls[i][q], k, k * s);
+      }
+    }
+    java.util.List out = new java.util.ArrayList();
+    java.util.Iterator every = sums.values().iterator();
+    while (every.hasNext()) {
+      double[] t = (double[]) every.next();
+      out.add(org.apache.spark.sql.RowFactory.create(new Object[]{Integer.valueOf(place[(int) t[0]]), Integer.valueOf(place[(int) t[1]]), Long.valueOf((long) t[2]), Double.valueOf(t[3])}));
+    }
+    return out;
+  }
+  static void add(java.util.Map sums, int a, int b, long n, double area) {
+    Long key = Long.valueOf(((long) Math.min(a, b) << 32) + Math.max(a, b));
+    double[] t = (double[]) sums.get(key);
+    if (t == null) { t = new double[]{Math.min(a, b), Math.max(a, b), 0, 0}; sums.put(key, t); }
+    t[2] += n; t[3] += area;
+  }
+""",
+}
+
+
 def _source(name: str, kinds: str, body: str) -> str:
     raw = ", ".join(f"Object {v}0" for v in "abcd"[: len(kinds)])
     guards = " || ".join(f"{v}0 == null" for v in "abcd"[: len(kinds)])
-    reads = {"g": "Geometry {v} = in({v}0);", "d": "double {v} = ((Number) {v}0).doubleValue();", "s": "String {v} = (String) {v}0;", "a": "Geometry {v} = all({v}0);", "b": "byte[] {v} = (byte[]) {v}0;"}
+    reads = {"g": "Geometry {v} = in({v}0);", "d": "double {v} = ((Number) {v}0).doubleValue();", "s": "String {v} = (String) {v}0;", "a": "Geometry {v} = all({v}0);", "b": "byte[] {v} = (byte[]) {v}0;", "r": "org.apache.spark.sql.Row[] {v} = rows({v}0);"}
     lines = "\n    ".join(reads[k].format(v=v) for k, v in zip(kinds, "abcd", strict=False))
     return f"""package {_PKG};
 import org.locationtech.jts.geom.Geometry;
@@ -321,7 +445,7 @@ public class G_{name} implements org.apache.spark.sql.api.java.UDF{len(kinds)} {
     }}
     return false;
   }}
-  public Object call({raw}) throws Exception {{
+{_OWN.get(name, "")}  public Object call({raw}) throws Exception {{
     if ({guards}) return null;
     {lines}
     {body}

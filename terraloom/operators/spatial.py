@@ -188,6 +188,27 @@ def contact_components(layer: DataFrame, cell: float, within: float = 0.0, by: t
     return layer.select("fid").where(F.col("fid").isNotNull()).distinct().join(placed, "fid", "left").select("fid", F.coalesce("component", "fid").alias("component"))
 
 
+def overlap_totals(layer: DataFrame, cell: float, least: float) -> DataFrame:
+    """(l_cls, r_cls, n, area): unordered pairs that share more than ``least``, counted and summed by their classes in each cell.
+
+    ``layer`` has ``plain`` beside its geometry. The features of a cell are measured in one call, so pairs never leave it; of the cells of a pair the one that
+    ``box_pairs`` takes counts it. A cell of more than ``BATCH`` features is cut into slices, and every two slices are a call.
+    """
+    at = ["_cx", "_cy"]
+    spread = _cells(layer.where(F.col("fid").isNotNull()), cell)
+    starts = sum(F.when(F.floor(F.col(c) / cell) == F.col(k), v).otherwise(0) for c, k, v in (("x0", "_cx", 1), ("y0", "_cy", 2)))
+    crowded = spread.groupBy(*at).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > BATCH).select(*at, F.ceil(F.col("_n") / BATCH).cast("int").alias("_s"))
+    crowded = Scratch(layer.sparkSession).keep(crowded)  # its size is known then, and the features need not be shuffled to meet it
+    dealt = spread.join(crowded, at, "left").withColumn("_s", F.coalesce("_s", F.lit(1))).withColumn("_h", F.pmod(F.xxhash64("fid"), F.col("_s")).cast("int"))
+    dealt = dealt.withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_s") - 1)))
+    x0, y0, x1, y1 = (F.col(c).cast("double").alias(c) for c in BOX)
+    member = F.struct(x0, y0, "fid", x1, y1, "cls", "geom", "plain", starts.alias("_a"), "_h")
+    called = dealt.groupBy(*at, F.least("_h", "_t").alias("_i"), F.greatest("_h", "_t").alias("_j")).agg(F.sort_array(F.collect_list(member)).alias("_m"))
+    names, found = F.col("_m.cls"), geo("totals", "_m", (F.col("_i") != F.col("_j")).cast("double"), float(least))
+    named = F.transform(found, lambda t: F.struct(F.get(names, t["a"]).alias("l_cls"), F.get(names, t["b"]).alias("r_cls"), t["n"].alias("n"), t["area"].alias("area")))
+    return called.select(F.explode(named).alias("_t")).select("_t.*")
+
+
 def dissolve(df: DataFrame, by: list[str], cell: float, geom: str = "geom") -> DataFrame:
     """Union per group in three levels: within small cells, within grid cells, then over the cells, so no task unites everything at once."""
     out = df.select(*by, geom)

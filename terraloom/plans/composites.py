@@ -21,7 +21,7 @@ from terraloom.functions.scalar import (
 from terraloom.operators import attributes as at
 from terraloom.operators.graph import connected_components, greedy_match
 from terraloom.operators.spatial import (
-    box_distance, box_pairs, cell_masks, common_area, contact_components, dissolve, equal_boxes, exact, first_come, nearest, pair, spatial_join,
+    box_distance, box_pairs, cell_masks, common_area, contact_components, dissolve, equal_boxes, exact, first_come, nearest, overlap_totals, pair, spatial_join,
 )
 
 #: Fixed values of the domain.
@@ -238,6 +238,12 @@ def overlap_report(layer: DataFrame, cell: float, least: float = OVERLAP_REPORTS
     )
 
 
+def overlap_counts(layer: DataFrame, cell: float, least: float = OVERLAP_REPORTS) -> DataFrame:
+    """Number and summed area of the pairs of ``overlap_report`` by their types, without a row for each pair."""
+    found = overlap_totals(layer.withColumn("plain", geo("plain", "geom")).select("fid", "cls", "geom", "plain", "x0", "y0", "x1", "y1"), cell, least)
+    return found.groupBy(pair_key(F.col("l_cls"), F.col("r_cls")).alias("types")).agg(F.sum("n").alias("n"), F.sum("area").alias("area"))
+
+
 def priority_overlaps(targets: DataFrame, overlays: DataFrame, cell: float, least: float = OVERLAP_COUNTS) -> DataFrame:
     """Each target minus the overlays it overlaps by more than ``least``, in overlay order; emptied targets go.
 

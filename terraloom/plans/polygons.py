@@ -127,8 +127,7 @@ SELECT least(a.cls, b.cls) || ' | ' || greatest(a.cls, b.cls) AS types, count(*)
 FROM common JOIN shapes a ON a.fid = lf JOIN shapes b ON b.fid = rf GROUP BY 1""")
 def overlap_type_pairs(spark, d):
     """Counts by sorted pair of classes."""
-    out = cp.overlap_report(outlines(spark, d, "shapes"), CELL)
-    return out.groupBy("types").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("area"), 4).alias("area"))
+    return cp.overlap_counts(outlines(spark, d, "shapes"), CELL).withColumn("area", F.round("area", 4))
 
 
 @query(f"""WITH {cte('shapes')}, {_contact('shapes', 'shapes', 'l.fid < r.fid')}, {_common()}, size AS (SELECT fid, count(*) / 2.0 AS a FROM ({_halves('shapes')}) GROUP BY fid)
